@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import geo
 from tracewright.functions.text import padded
+from tracewright.operators import assemble, negatives
+from tracewright.plans import traces
 from tracewright.plans.vocabulary import TASK_FAMILIES
-from tracewright.session import configure
+from tracewright.session import configure, materialize
 from tracewright.sources import schema
 
 SCENARIOS = 25
@@ -182,7 +184,7 @@ def assertion(kind: str, **fields: Column | str) -> Column:
 
 def blueprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, f, target = F.col("doc_id"), F.col("family"), F.col("target_id")
-    selected_mode = d % 2 == 0
+    selected_mode = F.floor(d / 10) % 2 == 0
     none = F.array().cast(f"array<{schema.ASSERTION}>")
     wanted = (
         F.when(
@@ -235,8 +237,70 @@ def blueprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def requests_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One utterance per document: its text."""
-    return table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("bp_ord"), F.lit(0).alias("utt_ord"), F.col("text").alias("utterance")
+def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One utterance per positive blueprint: the document's text. Negatives get placeholders."""
+    return documents(spark, sf_dir).select(
+        "scenario_id",
+        F.col("doc_id").alias("bp_ord"),
+        F.lit(0).alias("mutation"),
+        F.lit(0).alias("utt_ord"),
+        F.col("text").alias("utterance"),
+    )
+
+
+def samples(spark: SparkSession, sf_dir: str, with_negatives: bool = True) -> DataFrame:
+    """Samples of all blueprints, written once because most operators read them several times."""
+    asked = blueprints(spark, sf_dir)
+    negative = negatives.negative_cases(asked, objects(spark, sf_dir)) if with_negatives else None
+    table = assemble.all_blueprints(traces.with_gold_trace(asked), negative)
+    return materialize(
+        assemble.assemble_samples(table, scenarios(spark, sf_dir), utterances(spark, sf_dir))
+    )
+
+
+def _step(tool: str, **args: Column | str) -> Column:
+    values = [(v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in args.items()]
+    body = F.to_variant_object(F.struct(*values)) if values else F.parse_json(F.lit("{}"))
+    return F.struct(F.lit(tool).alias("tool"), body.alias("args"))
+
+
+def faulty_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positive samples with further steps, most of them wrong, added by modulus of the blueprint."""
+    base = samples(spark, sf_dir, with_negatives=False)
+    named = documents(spark, sf_dir).select(
+        "scenario_id", F.col("doc_id").alias("_d"), "kind", "target_id", "target_name"
     )
+    joined = base.withColumn("_d", F.col("sample_ord.blueprint")).join(named, ["scenario_id", "_d"])
+    d, target, point = F.col("_d"), F.col("target_id"), F.array(F.lit(106.7), F.lit(10.8))
+    scopes = F.array(*[F.lit(s) for s in ("all", "polylines", "highlights", "popups", "markers")])
+    extra = {
+        13: [_step("get_object_info", object_id="vehicle_missing")],
+        17: [
+            F.when(F.col("kind") == "polygon", _step("get_line_length", line_id=target)).otherwise(
+                _step("get_polygon_area", polygon_id=target)
+            )
+        ],
+        19: [_step("get_vehicle_trajectory", vehicle_id=target, time_range="last_year")],
+        23: [_step("teleport")],
+        29: [_step("draw_polyline", points="$get_line_length.points", label="x")],
+        31: [_step("clear_artifacts", scope=F.element_at(scopes, (d % 5 + 1).cast("int")))],
+        37: [_step("draw_marker", coordinates=point, label="m")],
+        41: [_step("draw_marker", coordinates=point)],
+        43: [
+            _step("resolve_entity", reference=F.col("target_name")),
+            _step("show_popup", target_id="$resolve_entity.entity", content="hi"),
+        ],
+        47: [_step("highlight_objects", object_ids=F.array(F.lit("vehicle_missing")))],
+        53: [_step("clear_artifacts", scope="everything")],
+    }
+    empty = F.array().cast(schema.TRACE)
+    parts = [F.when(d % m == 0, F.array(*steps)).otherwise(empty) for m, steps in extra.items()]
+    return materialize(
+        joined.withColumn("gold_trace", F.concat("gold_trace", *parts)).select(*base.columns)
+    )
+
+
+def verdicts(spark: SparkSession, sf_dir: str, of: DataFrame) -> DataFrame:
+    """Verdicts on samples from the labels of their documents; documents without one have none."""
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_d"), (F.col("quality") == 1).alias("valid"))
+    return of.select("id", F.col("sample_ord.blueprint").alias("_d")).join(labels, "_d").select("id", "valid")

@@ -100,14 +100,51 @@ VIEWS = {
               WHEN 3 THEN 'objects_inside_polygon' WHEN 4 THEN 'objects_crossing_line' WHEN 5 THEN 'polygon_area'
               WHEN 6 THEN 'line_length' WHEN 7 THEN 'nearby_objects' WHEN 8 THEN 'artifact_modification'
               ELSE 'unsupported_or_ambiguous' END AS task_type,
-         'L' || (doc_id % 6) AS difficulty, doc_id % 2 = 0 AS sel, doc_id % 11 = 0 AS clarify,
+         'L' || (doc_id % 6) AS difficulty, (doc_id // 10) % 2 = 0 AS sel, doc_id % 11 = 0 AS clarify,
          CASE WHEN family IN (0, 4) AND doc_id % 3 = 0 THEN 'today' END AS c_range,
          CASE WHEN family = 3 AND doc_id % 4 = 3 THEN 'camera' END AS c_type,
          CASE WHEN family = 7 AND doc_id % 4 = 3 THEN 400 END AS c_radius
   FROM docs""",
+    "firsts": """
+  SELECT scenario_id, type,
+         max(CASE WHEN rk = 1 THEN id END) AS id1, max(CASE WHEN rk = 1 THEN name END) AS name1,
+         max(CASE WHEN rk = 2 THEN id END) AS id2, max(CASE WHEN rk = 2 THEN name END) AS name2
+  FROM (SELECT *, row_number() OVER (PARTITION BY scenario_id, type ORDER BY ord) AS rk FROM objects)
+  WHERE rk <= 2 GROUP BY scenario_id, type""",
+    "negs": """
+  SELECT b.doc_id, b.scenario_id, b.kind, b.task_type, b.c_range, b.sel, b.target_id, 1 AS mutation, 'missing_selected' AS negative_type, 'L0' AS difficulty,
+         b.target_id AS object_id, CAST(NULL AS VARCHAR) AS shown_type, CAST(NULL AS VARCHAR) AS shown
+  FROM bps b WHERE sel
+  UNION ALL
+  SELECT b.doc_id, b.scenario_id, b.kind, b.task_type, b.c_range, b.sel, b.target_id, 2, 'type_mismatch', 'L5', b.target_id, f.type, f.id1
+  FROM bps b JOIN firsts f ON f.scenario_id = b.scenario_id
+       AND f.type = CASE b.kind WHEN 'vehicle' THEN 'camera' WHEN 'polygon' THEN 'line' ELSE 'polygon' END
+  WHERE sel
+  UNION ALL
+  SELECT b.doc_id, b.scenario_id, b.kind, b.task_type, b.c_range, b.sel, b.target_id, 3, 'multiple_selected', 'L5', b.target_id, f.type, f.id1 || ',' || f.id2
+  FROM bps b JOIN firsts f ON f.scenario_id = b.scenario_id AND f.type = b.kind WHERE f.id2 IS NOT NULL
+  UNION ALL
+  SELECT b.doc_id, b.scenario_id, b.kind, b.task_type, b.c_range, b.sel, b.target_id, 4, 'nonexistent_id', 'L5', 'vehicle_999_nonexistent',
+         NULL, NULL
+  FROM bps b WHERE NOT sel""",
+    # every sample, with what later steps look at
+    "samples": """
+  SELECT CAST(substr(scenario_id, 19) AS BIGINT) AS world, 0 AS stage, doc_id, 0 AS mutation, scenario_id, task_type, difficulty, text AS user_request,
+         clarify, NOT clarify AND family < 8 AS traced, family, sel, kind, target_id,
+         CASE WHEN sel THEN kind END AS shown_type, CASE WHEN sel THEN target_id END AS shown,
+         CASE WHEN NOT clarify AND family IN (0, 4) THEN coalesce(c_range, 'last_10_minutes') ELSE '' END AS used_range,
+         c_range, CAST(NULL AS VARCHAR) AS negative_type
+  FROM bps
+  UNION ALL
+  SELECT CAST(substr(scenario_id, 19) AS BIGINT), 1, doc_id, mutation, scenario_id, task_type, difficulty, '[auto] ' || task_type || ' task',
+         true, false, doc_id % 10, sel, kind, target_id, shown_type, shown, '', c_range, negative_type
+  FROM negs""",
 }
 
 NEEDS = {
+    "firsts": ["objects"],
+    "negs": ["bps", "firsts"],
+    "samples": ["bps", "negs"],
     "objects": ["vehicles", "cameras", "zones", "roads"],
     "bps": ["docs"],
 }
@@ -128,6 +165,13 @@ def with_views(names: str, body: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in wanted) + "\n" + body.strip()
 
 
+def sample_id(world: str, doc: str, mutation: str) -> str:
+    return f"('mapagent_' || substr(sha256({world} || '|' || {doc} || '|' || {mutation} || '|0'), 1, 32))"
+
+
+SAMPLE_ID = sample_id("scenario_id", "doc_id", "mutation")
+
+
 def and_views(names: str, ctes: dict[str, str], body: str) -> str:
     """Like `with_views`, with further common table expressions after them."""
     head = with_views(names, "")

@@ -1,8 +1,8 @@
 """All registered queries and their SQL, by name."""
 
-from . import lookups
+from . import building, lookups
 
-MODULES = [lookups]
+MODULES = [lookups, building]
 
 QUERIES = {name: f for module in MODULES for name, f in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

@@ -9,6 +9,7 @@ asks for its distinct ids once, and each distinct search is run once for all sam
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
@@ -239,7 +240,9 @@ def with_types(stepped: DataFrame, objects: DataFrame) -> DataFrame:
 def prepare(samples: DataFrame, objects: DataFrame, strict_refs: bool = False) -> DataFrame:
     """Samples with `steps`, `step_ids`, `shown` and `types`, which everything below works on."""
     stepped = with_steps(samples)
-    with_ids = with_step_ids(stepped, resolved_entities(stepped, objects), strict_refs)
+    asks = stepped.filter(F.exists("steps", lambda s: s.tool == "resolve_entity"))
+    resolved = None if asks.select("id").isEmpty() else resolved_entities(asks, objects)
+    with_ids = with_step_ids(stepped, resolved, strict_refs)
     return with_types(with_highlights(with_ids, strict_refs), objects)
 
 
@@ -281,16 +284,27 @@ def search_results(queries: DataFrame, scenarios: DataFrame, objects: DataFrame,
     def asking(tool: str, id_column: str) -> DataFrame:
         return asked.filter(F.col("tool") == tool).withColumnRenamed("object_id", id_column)
 
-    inside = spatial.objects_inside_polygon(asking("get_objects_inside_polygon", "polygon_id"), objects)
-    near = spatial.nearby_objects(asking("get_nearby_objects", "object_id"), objects)
-    crossing = spatial.objects_crossing_line(
-        asking("get_objects_crossing_line", "line_id"), scenarios, objects, traj
-    )
-    return (
-        results("get_objects_inside_polygon", inside, "polygon_id")
-        .unionByName(results("get_nearby_objects", near, "object_id", radius_meters="radius_meters"))
-        .unionByName(results("get_objects_crossing_line", crossing, "line_id", time_range="time_range"))
-    )
+    found = {
+        "get_objects_inside_polygon": lambda tool: results(
+            tool, spatial.objects_inside_polygon(asking(tool, "polygon_id"), objects), "polygon_id"
+        ),
+        "get_nearby_objects": lambda tool: results(
+            tool,
+            spatial.nearby_objects(asking(tool, "object_id"), objects),
+            "object_id",
+            radius_meters="radius_meters",
+        ),
+        "get_objects_crossing_line": lambda tool: results(
+            tool,
+            spatial.objects_crossing_line(asking(tool, "line_id"), scenarios, objects, traj),
+            "line_id",
+            time_range="time_range",
+        ),
+    }
+    in_use = [r[0] for r in asked.select("tool").distinct().collect()]  # three names at most
+    tables = [found[tool](tool) for tool in SEARCH_TOOLS if tool in in_use]
+    nothing = asked.withColumn("result_id", F.lit(None).cast("string")).filter(F.lit(False))
+    return reduce(DataFrame.unionByName, tables, nothing)
 
 
 def with_search_sizes(prepared: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:

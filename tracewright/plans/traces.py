@@ -1,40 +1,46 @@
-"""Gold traces from blueprints: a table of step templates, rendered as one expression per row."""
+"""Gold traces from blueprints: a small table of step templates, filled in row by row."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import schema
 from .vocabulary import ALLOWED_EXTRA_TOOLS
 
-Source = Callable[[Column, Column], Column]  # (target id, constraints) -> VARIANT
+
+
+@dataclass(frozen=True)
+class Source:
+    """Where an argument's value comes from; `text` is its literal, prefix or JSON default."""
+
+    kind: str
+    text: str = ""
 
 
 def literal(value: str) -> Source:
-    return lambda target, constraints: F.lit(value).cast("variant")
+    return Source("literal", value)
 
 
 def target_id() -> Source:
-    return lambda target, constraints: target.cast("variant")
+    return Source("target")
 
 
 def target_list() -> Source:
-    return lambda target, constraints: F.array(target).cast("variant")
+    return Source("target_list")
 
 
 def about_target(prefix: str) -> Source:
-    return lambda target, constraints: F.concat(F.lit(prefix), F.coalesce(target, F.lit("None"))).cast("variant")
+    return Source("about", prefix)
 
 
-def constraint(name: str, default: str | int) -> Source:
-    """A constraint of the blueprint; the default stands in only when it is not listed."""
-    return lambda target, constraints: F.coalesce(
-        F.try_variant_get(constraints, f"$.{name}", "variant"), F.lit(default).cast("variant")
-    )
+def constraint(default: str | int) -> Source:
+    """The blueprint's constraint of the argument's name; the default if it is not listed."""
+    return Source("constraint", json.dumps(default))
 
 
 @dataclass(frozen=True)
@@ -58,7 +64,7 @@ TEMPLATES: dict[str, list[Step]] = {
         selection("object"),
         Step(
             "get_vehicle_trajectory",
-            {"vehicle_id": target_id(), "time_range": constraint("time_range", "last_10_minutes")},
+            {"vehicle_id": target_id(), "time_range": constraint("last_10_minutes")},
         ),
         Step(
             "draw_polyline",
@@ -85,7 +91,7 @@ TEMPLATES: dict[str, list[Step]] = {
         selection("polygon"),
         Step(
             "get_objects_inside_polygon",
-            {"polygon_id": target_id(), "object_type": constraint("object_type", "vehicle")},
+            {"polygon_id": target_id(), "object_type": constraint("vehicle")},
         ),
         Step("highlight_objects", {"object_ids": literal("$get_objects_inside_polygon.results")}),
     ],
@@ -95,8 +101,8 @@ TEMPLATES: dict[str, list[Step]] = {
             "get_objects_crossing_line",
             {
                 "line_id": target_id(),
-                "object_type": constraint("object_type", "vehicle"),
-                "time_range": constraint("time_range", "last_10_minutes"),
+                "object_type": constraint("vehicle"),
+                "time_range": constraint("last_10_minutes"),
             },
         ),
     ],
@@ -108,8 +114,8 @@ TEMPLATES: dict[str, list[Step]] = {
             "get_nearby_objects",
             {
                 "object_id": target_id(),
-                "object_type": constraint("object_type", "camera"),
-                "radius_meters": constraint("radius_meters", 1000),
+                "object_type": constraint("camera"),
+                "radius_meters": constraint(1000),
             },
         ),
         Step("highlight_objects", {"object_ids": literal("$get_nearby_objects.results")}),
@@ -117,45 +123,63 @@ TEMPLATES: dict[str, list[Step]] = {
 }
 
 
-def _render(step: Step, target: Column, constraints: Column) -> Column:
-    if step.args:
-        args = F.to_variant_object(
-            F.struct(*[source(target, constraints).alias(name) for name, source in step.args.items()])
-        )
-    else:
-        args = F.parse_json(F.lit("{}"))
-    return F.struct(F.lit(step.tool).alias("tool"), args.alias("args"))
+STEPS = (
+    "array<struct<tool: string, only_if_selected: boolean, "
+    "args: array<struct<name: string, kind: string, text: string>>>>"
+)
 
 
-def gold_trace(
-    blueprint: Callable[[str], Column] = F.col, templates: dict[str, list[Step]] | None = None
-) -> Column:
-    """The trace of a blueprint row; null when its task type has no template.
+def template_table(spark: SparkSession, templates: dict[str, list[Step]] | None = None) -> DataFrame:
+    """The templates as rows (task_type, steps)."""
+    rows = [
+        (
+            task,
+            [(s.tool, s.only_if_selected, [(n, src.kind, src.text) for n, src in s.args.items()]) for s in steps],
+        )
+        for task, steps in (templates or TEMPLATES).items()
+    ]
+    return spark.createDataFrame(rows, f"task_type string, steps {STEPS}")
 
-    Blueprints that are negative or ask for clarification have an empty trace.
-    """
-    task, target = blueprint("task_type"), blueprint("target")
-    selected = F.coalesce(target["reference_mode"] == "selected_object", F.lit(False))
-    empty = F.array().cast(schema.TRACE)
-    rendered = F.lit(None).cast(schema.TRACE)
-    for name, steps in reversed((templates or TEMPLATES).items()):
-        parts = []
-        for step in steps:
-            one = F.array(_render(step, target["object_id"], blueprint("constraints")))
-            parts.append(F.when(selected, one).otherwise(empty) if step.only_if_selected else one)
-        rendered = F.when(task == name, F.concat(*parts)).otherwise(rendered)
-    silent = F.coalesce(blueprint("negative_case"), F.lit(False)) | F.coalesce(
-        blueprint("should_ask_clarification"), F.lit(False)
+
+def _rendered(steps: Column) -> Column:
+    """The steps that apply to a blueprint row, arguments filled in."""
+    selected = F.coalesce(F.col("target.reference_mode") == "selected_object", F.lit(False))
+    target = F.col("target.object_id")
+    listed = F.coalesce(
+        F.try_variant_get("constraints", "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")
     )
-    return F.when(silent, empty).otherwise(rendered)
 
+    def value(a: Column) -> Column:
+        return (
+            F.when(a.kind == "target", F.coalesce(target.cast("variant"), F.parse_json(F.lit("null"))))
+            .when(a.kind == "target_list", F.to_variant_object(F.array(target)))
+            .when(a.kind == "about", F.concat(a.text, F.coalesce(target, F.lit("None"))).cast("variant"))
+            .when(a.kind == "constraint", F.coalesce(listed[a["name"]], F.try_parse_json(a.text)))
+            .otherwise(a.text.cast("variant"))
+        )
+
+    def step(s: Column) -> Column:
+        args = F.map_from_entries(F.transform(s["args"], lambda a: F.struct(a["name"], value(a))))
+        return F.struct(s.tool.alias("tool"), F.to_variant_object(args).alias("args"))
+
+    return F.transform(F.filter(steps, lambda s: ~s.only_if_selected | selected), step)
+
+
+def with_gold_trace(
+    blueprints: DataFrame, fallback: DataFrame | None = None, templates: dict[str, list[Step]] | None = None
+) -> DataFrame:
+    """Add `gold_trace`; blueprints that are negative or ask for clarification get an empty one.
 
-def with_gold_trace(blueprints: DataFrame, fallback: DataFrame | None = None) -> DataFrame:
-    """Add `gold_trace`. `fallback(scenario_id, bp_ord, trace)` serves task types without a
-    template (traces a model wrote, see ingest.plan_steps); without one they get an empty trace.
+    `fallback(scenario_id, bp_ord, trace)` serves task types without a
+    template (traces a model wrote, see ingest.plan_steps); without one their trace is empty.
     """
     empty = F.array().cast(schema.TRACE)
-    traced = blueprints.withColumn("gold_trace", gold_trace())
+    # One row per template: far below any broadcast limit.
+    table = F.broadcast(template_table(blueprints.sparkSession, templates))
+    silent = F.coalesce("negative_case", F.lit(False)) | F.coalesce("should_ask_clarification", F.lit(False))
+    traced = blueprints.join(table, "task_type", "left").withColumn(
+        "gold_trace", F.when(silent, empty).otherwise(_rendered(F.col("steps")))
+    ).select(*blueprints.columns, "gold_trace")
     if fallback is None:
         return traced.withColumn("gold_trace", F.coalesce("gold_trace", empty))
     written = fallback.select("scenario_id", "bp_ord", F.col("trace").alias("_written"))
