@@ -1,8 +1,8 @@
 """All registered queries and their SQL, by name."""
 
-from . import building, lookups
+from . import building, curating, lookups, verifying
 
-MODULES = [lookups, building]
+MODULES = [lookups, building, verifying, curating]
 
 QUERIES = {name: f for module in MODULES for name, f in module.QUERIES.items()}
 ORACLES = {name: sql for module in MODULES for name, sql in module.ORACLES.items()}

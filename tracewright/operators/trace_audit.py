@@ -246,22 +246,33 @@ def prepare(samples: DataFrame, objects: DataFrame, strict_refs: bool = False) -
     return with_types(with_highlights(with_ids, strict_refs), objects)
 
 
+def _query_columns(step: Column, object_id: Column) -> list[Column]:
+    return [
+        F.col("scenario_id"),
+        step.tool.alias("tool"),
+        object_id.alias("object_id"),
+        string_value(step.args["object_type"]).alias("object_type"),
+        F.try_variant_get(step.args["radius_meters"], "$", "double").alias("radius_meters"),
+        string_value(step.args["time_range"]).alias("time_range"),
+    ]
+
+
 def searches(prepared: DataFrame) -> DataFrame:
     """(id, pos, query columns): the search behind each highlight that takes search results."""
     hits = F.filter("shown", lambda h: h.search.isNotNull())
+    rows = prepared.select("id", "scenario_id", "steps", "step_ids", F.explode(hits).alias("h"))
     step = F.get(F.col("steps"), F.col("h.search"))
-    return (
-        prepared.select("id", "scenario_id", "steps", "step_ids", F.explode(hits).alias("h"))
-        .select(
-            "id",
-            F.col("h.pos").alias("pos"),
-            "scenario_id",
-            step.tool.alias("tool"),
-            F.get("step_ids", F.col("h.search")).alias("object_id"),
-            string_value(step.args["object_type"]).alias("object_type"),
-            F.try_variant_get(step.args["radius_meters"], "$", "double").alias("radius_meters"),
-            string_value(step.args["time_range"]).alias("time_range"),
-        )
+    return rows.select(
+        "id", F.col("h.pos").alias("pos"), *_query_columns(step, F.get("step_ids", F.col("h.search")))
+    )
+
+
+def all_searches(prepared: DataFrame) -> DataFrame:
+    """(id, pos, query columns): every search step."""
+    calls = F.filter("steps", lambda s: s.tool.isin(SEARCH_TOOLS))
+    rows = prepared.select("id", "scenario_id", "step_ids", F.explode(calls).alias("s"))
+    return rows.select(
+        "id", F.col("s.pos").alias("pos"), *_query_columns(F.col("s"), F.get("step_ids", F.col("s.pos")))
     )
 
 
