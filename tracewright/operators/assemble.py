@@ -67,7 +67,7 @@ def assemble_samples(blueprints: DataFrame, scenarios: DataFrame, utterances: Da
     no_slot = F.struct(*[F.lit(None).cast(schema.SLOT).alias(s) for s in ("object", "line", "polygon")]).cast(schema.SELECTED)
     return joined.select(
         F.struct(
-            F.col("_world_ord").cast("bigint").alias("scenario"),
+            F.col("_world_ord").alias("scenario"),
             F.col("stage").alias("negative"),
             F.col("bp_ord").cast("bigint").alias("blueprint"),
             F.col("mutation").alias("mutation"),
