@@ -31,7 +31,6 @@ def block_join(
     keys: list[str],
     left_id: list[str],
     right_id: list[str],
-    right_load: DataFrame | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Inner equi-join in which the rows of a hot key are cut into blocks on both sides.
@@ -40,13 +39,11 @@ def block_join(
     plain join while no task gets a whole hot key. It is meant for joins that compare all
     pairs within a key, where few bytes can mean much work and the adaptive skew join, which
     goes by bytes, does not step in. `left_id` / `right_id` name the columns a row's block is
-    drawn from. `right_load` may name a cheaper table whose counts per key stand for those of
-    the right side; block numbers change the spread, never the result.
+    drawn from.
     """
     a, b = "_left_blocks", "_right_blocks"
-    load = right if right_load is None else right_load
     sides = _heavy(left, keys, a, block_rows).withColumn(b, F.lit(1)).unionByName(
-        _heavy(load, keys, b, block_rows).withColumn(a, F.lit(1))
+        _heavy(right, keys, b, block_rows).withColumn(a, F.lit(1))
     )
     cuts = sides.groupBy(*keys).agg(F.max(a).alias(a), F.max(b).alias(b))
     hot = F.broadcast(cuts.orderBy((F.col(a).cast("long") * F.col(b)).desc()).limit(MAX_HOT_KEYS))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..session import materialize
 from . import grid
 from .lookup import time_range_minutes
 from .skew import block_join, with_next
@@ -168,7 +169,8 @@ def objects_crossing_line(
 ) -> DataFrame:
     """queries(scenario_id, line_id, object_type, time_range) -> objects whose path meets the line.
 
-    The path joins the points left after the time filter, so a path needs two such points.
+    The path joins the points left after the time filter, so a path needs two such points. The
+    steps of these paths are written to the scratch folder once.
     """
     minutes = time_range_minutes(F.col("time_range"))
     ask = queries.select("scenario_id", "line_id", "object_type", "time_range").distinct()
@@ -184,9 +186,11 @@ def objects_crossing_line(
 
     in_use = [r[0] for r in ask.select(minutes).distinct().collect()]  # five values at most
     points = _recent_points(scenarios, traj, in_use)
-    paths = _segments(points).withColumn("_box", _segment_box(F.col("_step")))
-    line_levels = grid.levels_in_use(asked, grid.box_level(F.col("_box")))
-    left = grid.with_shared_cells(asked, grid.ALL_LEVELS).withColumnsRenamed(
+    steps = materialize(_segments(points))  # read for its levels, its hot cells and the join
+    paths = steps.withColumn("_box", _segment_box(F.col("_step")))
+    level = grid.box_level(F.col("_box"))
+    line_levels, step_levels = grid.levels_in_use(asked, level), grid.levels_in_use(paths, level)
+    left = grid.with_shared_cells(asked, step_levels).withColumnsRenamed(
         {"_box": "_line_box", "_own_level": "_line_level"}
     )
     right = grid.with_shared_cells(paths, line_levels).withColumnsRenamed(
@@ -198,7 +202,6 @@ def objects_crossing_line(
         ["scenario_id", "_minutes", *grid.CELL],
         ["line_id", "_line"],
         ["id", "pos"],
-        right_load=grid.with_point_cells(points, "lon", "lat", line_levels),
     )
     once = grid.first_shared_cell(
         F.col("_line_box"), F.col("_step_box"), F.col("_line_level"), F.col("_step_level")
