@@ -49,6 +49,11 @@ def _reference(value: Column, part: int) -> Column:
     return F.when(found != "", found)
 
 
+def _given(value: Column) -> Column:
+    """Whether an argument is there and not null."""
+    return value.isNotNull() & ~F.is_variant_null(value)
+
+
 def latest_before(tools: Column, tool: Column, pos: Column) -> Column:
     """Index of the latest step before `pos` that calls the tool."""
     earlier = F.slice(tools, F.lit(1), pos)
@@ -343,9 +348,9 @@ def step_errors(strict_refs: bool = False) -> Column:
     def bad_ref(r: Column) -> Column:
         field_known = F.array_contains(returns[r.tool], r.field)
         # What a selection query returns depends on whether it names a slot.
-        named = ~F.is_variant_null(F.get(steps, r.at).args["entity_type"])
+        named = _given(F.get(steps, r.at).args["entity_type"])
         slot_query = r.tool == "get_selected_entity"
-        field_there = F.when(slot_query, F.coalesce(named, F.lit(False)) == (r.field == "entity")).otherwise(True)
+        field_there = F.when(slot_query, named == (r.field == "entity")).otherwise(True)
         return r.at.isNull() | ~F.coalesce(field_known & field_there, F.lit(False))
 
     def error_of(s: Column) -> Column:
@@ -354,7 +359,7 @@ def step_errors(strict_refs: bool = False) -> Column:
         works_on = _by_tool(ID_PARAM, "string")[s.tool].isNotNull()
         needed = _by_tool(REQUIRED_TYPE, "string")[s.tool]
         slot = string_value(s.args["entity_type"])
-        slot_given = F.coalesce(~F.is_variant_null(s.args["entity_type"]), F.lit(False))
+        slot_given = _given(s.args["entity_type"])
         scope = string_value(s.args["scope"])
         radius = F.try_variant_get(s.args["radius_meters"], "$", "double")
         call = F.get(F.filter("shown", lambda h: h.pos == s.pos), F.lit(0))
