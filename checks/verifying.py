@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracewright.operators import conformance, gates, metrics
+from tracewright.operators import conformance, gates, tool_results
 from tracewright.operators import trace_audit as audit
 
 from . import fixtures as fx
@@ -330,9 +330,6 @@ def policy_check(spark, sf_dir):
     return found.select("id", *[F.array_join(c, ",").alias(c) for c in ("forbidden", "not_allowed", "missing")])
 
 
-_STAGES = ", ".join(f"count(*) FILTER ({g}) AS {g}" for g in gates.GATES)
-
-
 @query(
     "search_results",
     and_views(
@@ -359,3 +356,61 @@ def search_results(spark, sf_dir):
         fx.materialize(today), fx.scenarios(spark, sf_dir), fx.objects(spark, sf_dir), fx.traj(spark, sf_dir)
     )
     return found.groupBy(*audit.QUERY).agg(F.countDistinct("result_id").alias("n"))
+
+
+_AREA = """round(abs(((x1 - x0) * (y0 - y1) + (x1 - x0) * (y0 - y1) + (x0 - x0) * (y1 - y0)) / 2)
+             * CAST(111320 AS DOUBLE) * (CAST(111320 AS DOUBLE) * cos(radians((y0 + y0 + y1 + y1 + y0) / 5))), 2)"""
+_LENGTH = f"round({haversine('x0', 'y0', 'x1', 'y1')} + {haversine('x1', 'y1', 'x2', 'y2')} + {haversine('x2', 'y2', 'x3', 'y3')}, 2)"
+
+
+@query(
+    "tool_results",
+    and_views(
+        "bps objects zones roads",
+        {
+            **FAULTY,
+            "areas": f"SELECT scenario_id, id, {_AREA} AS v FROM zones",
+            "lengths": f"SELECT scenario_id, id, {_LENGTH} AS v FROM roads",
+        },
+        f"""
+SELECT id, 0 AS pos, 'get_current_map_state' AS tool, CASE WHEN sel THEN target_id END AS entity, CAST(NULL AS DOUBLE) AS number
+FROM faulty WHERE n0 > 0
+UNION ALL SELECT id, 1, 'get_selected_entity', CASE WHEN sel THEN target_id END, NULL FROM faulty WHERE n0 > 0 AND (family = 2 OR (family IN (0, 1, 3) AND sel))
+UNION ALL SELECT id, n0 - 2, 'get_object_info', target_id, NULL FROM faulty WHERE n0 > 0 AND family = 1
+UNION ALL SELECT f.id, n0 - 1, 'get_polygon_area', target_id, v FROM faulty f JOIN areas a ON a.scenario_id = f.scenario_id AND a.id = f.target_id WHERE n0 > 0 AND family = 5
+UNION ALL SELECT f.id, n0 - 1, 'get_line_length', target_id, v FROM faulty f JOIN lengths a ON a.scenario_id = f.scenario_id AND a.id = f.target_id WHERE n0 > 0 AND family = 6
+UNION ALL SELECT id, {_P[43]}, 'resolve_entity', target_id, 1 FROM faulty WHERE doc_id % 43 = 0""",
+    ),
+)
+def read_tool_results(spark, sf_dir):
+    objects = fx.objects(spark, sf_dir)
+    found = tool_results.read_results(audit.prepare(fx.faulty_samples(spark, sf_dir), objects), objects)
+    get = lambda path, kind: F.try_variant_get("result", path, kind)
+    ids = ["$.entity.id", "$.id", "$.polygon_id", "$.line_id", "$.selected.object.id", "$.selected.line.id", "$.selected.polygon.id"]
+    return found.select(
+        "id",
+        "pos",
+        "tool",
+        F.coalesce(*[get(p, "string") for p in ids]).alias("entity"),
+        F.coalesce(*[get(p, "double") for p in ("$.area_sqm", "$.length_meters", "$.confidence")]).alias("number"),
+    )
+
+
+@query(
+    "trajectory_results",
+    and_views(
+        "bps vehicles traj scenarios",
+        {"faulty": FAULTY["faulty"]},
+        """
+SELECT t.scenario_id, t.object_id AS vehicle_id, a.time_range, t.pos, t.lon, t.lat
+FROM (SELECT DISTINCT scenario_id, target_id, coalesce(c_range, 'last_10_minutes') AS time_range FROM faulty WHERE family = 0 AND n0 > 0
+      UNION SELECT scenario_id, target_id, 'last_year' FROM faulty WHERE doc_id % 19 = 0 AND kind = 'vehicle') a
+JOIN traj t ON t.scenario_id = a.scenario_id AND t.object_id = a.target_id JOIN scenarios s ON s.scenario_id = t.scenario_id
+WHERE t.ts >= s.time - CASE a.time_range WHEN 'today' THEN 1440 ELSE 10 END * INTERVAL 1 MINUTE""",
+    ),
+)
+def trajectory_results(spark, sf_dir):
+    objects = fx.objects(spark, sf_dir)
+    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), objects)
+    points = tool_results.trajectory_points(prepared, fx.scenarios(spark, sf_dir), objects, fx.traj(spark, sf_dir))
+    return points.drop("ts")
