@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -18,19 +19,31 @@ def test_block_join_equals_join(spark):
     assert cut.exceptAll(plain).count() == 0
 
 
-def test_block_join_spreads_a_hot_key(spark):
-    left = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("a"))
-    right = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").alias("b"))
+@pytest.fixture()
+def no_broadcast(spark):
+    """Join strategies as for tables too large to broadcast."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k in names:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_block_join_spreads_a_hot_key(spark, no_broadcast):
+    # One key only, written so that the optimizer does not know it.
+    one = F.floor(F.col("id") / 10**6).alias("k")
+    left = spark.range(1000).select(one, F.col("id").alias("a"))
+    right = spark.range(1000).select(one, F.col("id").alias("b"))
     cut = block_join(left, right, ["k"], ["a"], ["b"], block_rows=100)
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(k" in plan and "_l" in plan and "_r" in plan
     assert cut.count() == 1_000_000
 
 
-def test_adaptive_skew_join_cuts_hot_lookup(spark):
+def test_adaptive_skew_join_cuts_hot_lookup(spark, no_broadcast):
     keep = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
     }
@@ -47,10 +60,7 @@ def test_adaptive_skew_join_cuts_hot_lookup(spark):
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
     finally:
         for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_with_next_across_blocks(spark):

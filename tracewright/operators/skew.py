@@ -36,17 +36,23 @@ def block_join(
     """Inner equi-join in which the rows of a hot key are cut into blocks on both sides.
 
     Every pair of a left and a right block meets in one place, so the result is that of the
-    plain join while no task gets a whole hot key. It is meant for joins that compare all
-    pairs within a key, where few bytes can mean much work and the adaptive skew join, which
-    goes by bytes, does not step in. `left_id` / `right_id` name the columns a row's block is
-    drawn from.
+    plain join while no task gets a whole hot key. It is meant for joins that compare all pairs
+    within a key, where few bytes can mean much work and the adaptive skew join, which goes by
+    bytes, does not step in. `left_id` / `right_id` name the columns a row's block is drawn from.
+
+    The hot keys, at most MAX_HOT_KEYS, are looked up first by one job over the key columns of
+    both sides; without any, this is the plain join.
     """
     a, b = "_left_blocks", "_right_blocks"
     sides = _heavy(left, keys, a, block_rows).withColumn(b, F.lit(1)).unionByName(
         _heavy(right, keys, b, block_rows).withColumn(a, F.lit(1))
     )
     cuts = sides.groupBy(*keys).agg(F.max(a).alias(a), F.max(b).alias(b))
-    hot = F.broadcast(cuts.orderBy((F.col(a).cast("long") * F.col(b)).desc()).limit(MAX_HOT_KEYS))
+    worst = cuts.orderBy((F.col(a).cast("long") * F.col(b)).desc()).limit(MAX_HOT_KEYS)
+    found = worst.collect()
+    if not found:
+        return left.join(right, keys)
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, worst.schema))
 
     def in_blocks(df: DataFrame, own: str, other: str, ids: list[str], own_tag: str, other_tag: str):
         return (
