@@ -131,6 +131,17 @@ def test_sinks(spark):
     assert spark.read.text(out + "-m").first().value == '{"candidates":3,"final":2}'
 
 
+def test_review_queue_and_responses(spark):
+    out = scratch_dir(spark)
+    sinks.write_review_queue(spark.createDataFrame([("a", None, "pending")], "id string, tags array<string>, review_status string"), out)
+    assert spark.read.text(out).first().value == '{"id":"a","tags":null,"review_status":"pending"}'
+    answers = spark.createDataFrame([("r", "verdict", 1, "{}")], tables.RESPONSES)
+    for file_format in ("parquet", "json"):
+        path = f"{out}-{file_format}"
+        answers.write.format(file_format).save(path)
+        assert tables.read_responses(spark, path, file_format).collect() == answers.collect()
+
+
 def test_render_does_not_rescan_values(spark):
     df = spark.createDataFrame([("{b}", "x")], "a string, b string")
     text = requests.render('{a} and {b}, {"utterances": []}', a=F.col("a"), b=F.col("b"))

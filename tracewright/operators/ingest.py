@@ -21,8 +21,7 @@ MAX_ATTEMPTS = 3  # fixed value: answers tried per request
 def first_parsed(responses: DataFrame, kind: str) -> DataFrame:
     """(request_id, attempt, value): the first answer of each request that holds JSON.
 
-    Only the attempt number is aggregated; the answer is fetched again by it, so texts are not
-    carried through the aggregation.
+    Answers are parsed before the aggregation, so texts without JSON are never shuffled.
     """
     parsed = (
         responses.filter((F.col("kind") == kind) & (F.col("attempt") <= MAX_ATTEMPTS))
