@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import quality_rules
+from tracewright.llm import minhash, quality_rules
 from tracewright.session import configure
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = quality_rules.quality_rules(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -90,6 +94,7 @@ FROM base LEFT JOIN word_js USING (r) LEFT JOIN char_js USING (r)
 """
 
 QUERIES = {
+    "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
 }
 
