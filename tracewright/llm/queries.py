@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import minhash, quality_rules
+from tracewright.llm import minhash, mixing, quality_rules
 from tracewright.session import configure
 
 
@@ -13,6 +13,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = mixing.mix(_table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    rows = d.select("doc_id", "size", "source_size", "target", taken, F.explode(F.expr("array_repeat(1, int(repeats))")))
+    return rows.drop("col")
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -94,6 +101,7 @@ FROM base LEFT JOIN word_js USING (r) LEFT JOIN char_js USING (r)
 """
 
 QUERIES = {
+    "op5_mixing": op5_mixing,
     "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
 }
