@@ -9,6 +9,10 @@ from tracewright.session import materialize
 
 STAGES = [
     ("quality_rules", stages.quality_rules_stage),
+    ("near_dedup", stages.near_dedup_stage),
+    ("pii", stages.pii_stage),
+    ("mixing", stages.mixing_stage),
+    ("bpe", stages.bpe_stage),
 ]
 
 ORACLE_SQL = None

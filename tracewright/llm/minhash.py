@@ -125,7 +125,7 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _text_key(text: Column) -> Column:
+def text_key(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
@@ -133,7 +133,7 @@ def signed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """(doc_id, key of the text, set size, digest of the set, band keys) of every row, written once."""
     d = docs.select(
         F.col(doc_id).cast("bigint").alias("_id"),
-        _text_key(F.col(text)).alias("_key"),
+        text_key(F.col(text)).alias("_key"),
         F.col(text).cast("binary").alias("_text"),
     )
     keep = ["_id", "_key"]
@@ -213,7 +213,7 @@ def _labelled(buckets: DataFrame, parts: DataFrame | None) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of the documents."""
+    """(doc_id, n_shingles, component_id, kept, text_key) of every row of the documents."""
     signed = signed_documents(docs, doc_id, text)
     nodes = materialize(_nodes(signed))
     buckets = _buckets(signed, nodes)
@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # Texts come back by (key, id), which is one row per node and so has no hot key.
     texts = docs.select(
         F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("_id"),
-        _text_key(F.col(text)).alias("_key"),
+        text_key(F.col(text)).alias("_key"),
         F.col(text).cast("binary").alias("_text"),
     )
     wanted = wanted.select("node", F.least("node", F.lit(NO_ID)).alias("_id"), F.col("key").alias("_key"))
@@ -254,15 +254,16 @@ def _named(signed: DataFrame, nodes: DataFrame, parts: DataFrame | None) -> Data
         of_set = of_set.withColumn("component", F.col("node"))
     else:
         of_set = of_set.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rows = signed.select("_id", "_n", "_digest").join(
+    rows = signed.select("_id", "_n", "_digest", "_key").join(
         of_set, (F.col("_digest") == F.col("_d")) & (F.col("_n") > 0), "left"
     )
     component = F.when(F.col("component") < NO_ID, F.col("component"))
     component = F.when(F.col("_n") > 0, component).otherwise(F.col("_id"))
-    rows = rows.select("_id", "_n", component.alias("component_id"))
+    rows = rows.select("_id", "_n", "_key", component.alias("component_id"))
     return rows.select(
         F.col("_id").alias("doc_id"),
         F.col("_n").alias("n_shingles"),
         "component_id",
         F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.col("_key").alias("text_key"),
     )

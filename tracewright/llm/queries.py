@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import minhash, mixing, quality_rules
+from tracewright.llm import bpe, minhash, mixing, pii, quality_rules, stages
 from tracewright.session import configure
 
 
@@ -13,6 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = pii.pseudonymize(_table(spark, sf_dir, "documents").select("doc_id", "text"), stages.PII_KEY)
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return d.select("doc_id", "text", F.size("spans").cast("bigint").alias("n_replaced"), spans.alias("spans"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = mixing.mix(_table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
@@ -20,8 +27,21 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("col")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(stages.VOCABULARY)
+    d = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    d = bpe.decode(d, path)
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return d.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +121,9 @@ FROM base LEFT JOIN word_js USING (r) LEFT JOIN char_js USING (r)
 """
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op5_mixing": op5_mixing,
+    "op6_bpe": op6_bpe,
     "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
 }
