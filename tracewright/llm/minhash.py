@@ -7,9 +7,9 @@ densification). Runs of `ROWS` places are the keys of `BANDS` buckets.
 
 Documents with equal sets are one node from the start, named by its smallest doc_id, so that
 thousands of copies cost one candidate. A bucket of n nodes gives n - 1 candidate edges, to its
-smallest node; each is confirmed on the full sets. Where a bucket's nodes still lie in
-different components, further stars follow while they pay, and in the end exactly the pairs of
-nodes that share a bucket but no component are confirmed: no link is lost to the star shape.
+heaviest node; each is confirmed on the full sets. Where a bucket's nodes still lie in
+different components, all pairs of such nodes that a prefix of rarest shingles does not rule out are
+confirmed as well: no link is lost to the star shape.
 
 Defined cases: a null or blank text has no shingles, is linked with nothing and is its own
 component; a text of one word is that one shingle; a null doc_id takes part, but names a
@@ -37,7 +37,6 @@ PERCENT = 80
 BATCH_BYTES = 2_000_000
 # Ids of nodes without a doc_id start here, above all ids, so that they never name a component.
 NO_ID = 1 << 62
-STAR_ROUNDS = 6
 
 _rng = np.random.default_rng(20240611)
 _ORDER = np.argsort(_rng.random((PLACES, PLACES)), axis=1).argsort(axis=1).astype(np.int16)
@@ -154,7 +153,11 @@ def _nodes(signed: DataFrame) -> DataFrame:
 
 
 def _buckets(signed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(bucket, node, n) of the buckets with several nodes; the bands of one row per node go in."""
+    """(bucket, node, n, weight) of the buckets with several nodes.
+
+    A node's weight is how many others it meets in all its buckets: the original of many edited
+    copies, from which no copy is far, meets more than the copies do.
+    """
     node = F.coalesce("_id", F.shiftrightunsigned(F.xxhash64("_digest"), 2) + F.lit(NO_ID))
     own = signed.filter("_n > 0").select(node.alias("node"), F.col("_key").alias("key"), "_n", "_keys")
     first = own.join(nodes.select("node", "key"), ["node", "key"], "left_semi")
@@ -162,8 +165,10 @@ def _buckets(signed: DataFrame, nodes: DataFrame) -> DataFrame:
         "node", F.col("_n").alias("n"), F.explode("_keys").alias("bucket")
     )
     rows = materialize(rows)
-    several = rows.groupBy("bucket").agg(F.count("*").alias("_m")).filter("_m > 1").drop("_m")
-    return materialize(rows.join(several, "bucket"))
+    several = rows.groupBy("bucket").agg(F.count("*").alias("_m")).filter("_m > 1")
+    shared = materialize(rows.join(several, "bucket"))
+    weights = shared.groupBy("node").agg(F.sum("_m").alias("weight"))
+    return materialize(shared.drop("_m").join(weights, "node"))
 
 
 def _near_sizes(n: str, m: str) -> Column:
@@ -180,36 +185,51 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(100 * F.col("c") >= PERCENT * (F.col("total") - F.col("c"))).select("a", "b")
 
 
-def _stars(labelled: DataFrame, turn: int) -> DataFrame:
-    """Edges from one node of each bucket to its nodes in other components."""
-    order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    hub = F.min_by(F.struct("node", "component", "n"), order)
-    hubs = labelled.groupBy("bucket").agg(hub.alias("h"), F.count_distinct("component").alias("k")).filter("k > 1")
-    rows = labelled.join(hubs, "bucket").filter(
-        (F.col("component") != F.col("h.component")) & _near_sizes("n", "h.n")
-    )
+def _stars(buckets: DataFrame) -> DataFrame:
+    """Edges from the heaviest node of each bucket to its other nodes."""
+    hub = F.max_by(F.struct("node", "n"), F.struct("weight", -F.col("node")))
+    rows = buckets.join(buckets.groupBy("bucket").agg(hub.alias("h")), "bucket")
+    rows = rows.filter((F.col("node") != F.col("h.node")) & _near_sizes("n", "h.n"))
     return rows.select(F.col("h.node").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _open_pairs(labelled: DataFrame) -> int:
-    """How many pairs share a bucket and no component, counted without listing them."""
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("m"))
-    sums = parts.groupBy("bucket").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("s"))
-    return sums.agg(F.sum((F.col("m") * F.col("m") - F.col("s")) / 2)).first()[0] or 0
-
+def _open_nodes(buckets: DataFrame, parts: DataFrame) -> DataFrame:
+    """(node, component) of the nodes in buckets whose nodes the stars did not tie into one component."""
+    named = buckets.select("bucket", "node").join(parts, "node", "left")
+    named = materialize(named.withColumn("component", F.coalesce("component", "node")))
+    several = F.min("component") != F.max("component")
+    still = named.groupBy("bucket").agg(several.alias("several")).filter("several")
+    return materialize(named.join(still, "bucket", "left_semi").select("node", "component").distinct())
 
-def _all_open(labelled: DataFrame) -> DataFrame:
-    one = labelled.select("bucket", F.col("node").alias("a"), F.col("component").alias("p"), F.col("n").alias("n1"))
-    two = labelled.select("bucket", F.col("node").alias("b"), F.col("component").alias("q"), F.col("n").alias("n2"))
-    pairs = one.join(two, "bucket").filter((F.col("p") < F.col("q")) & _near_sizes("n1", "n2"))
-    return pairs.select("a", "b").distinct()
 
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Every pair of nodes of different components that can be similar enough.
 
-def _labelled(buckets: DataFrame, parts: DataFrame | None) -> DataFrame:
-    if parts is None:
-        return buckets.withColumn("component", F.col("node"))
-    named = buckets.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return materialize(named)
+    Two sets that share 80 % of the larger one share one of the rarest shingles of each: among
+    n shingles in order of frequency, one of the first n - ceil(0.8 n) + 1. So what thousands of
+    documents have in common makes no pairs (prefix and positional filters of set joins). Nodes of one component are never paired: pairs of
+    components that meet at a shingle come first, their nodes after.
+    """
+    tokens = nodes.join(sets, "node").select(
+        "node", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("t")
+    )
+    counts = tokens.groupBy("t").agg(F.count("*").alias("f"))
+    by_node = tokens.join(counts, "t").groupBy("node", "component", "n")
+    length = F.col("n") - F.floor((PERCENT * F.col("n") + 99) / 100).cast("int") + 1
+    rarest = by_node.agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("tokens"))
+    rarest = rarest.select("node", "component", "n", F.posexplode(F.slice("tokens", F.lit(1), length)).alias("i", "x"))
+    first = materialize(rarest.filter("x.f > 1").select(F.col("x.t").alias("t"), "i", "node", "component", "n"))
+    # The smaller set of a pair meets the larger one in its first n - ceil(8/9 n) + 1 already.
+    short = first.filter(F.col("i") <= F.col("n") - F.ceil(8 * F.col("n") / 9))
+    meet = short.select("t", F.col("component").alias("q")).distinct()
+    meet = meet.join(first.select("t", F.col("component").alias("p")).distinct(), "t").filter("p <> q")
+    one = first.select("t", F.col("component").alias("p"), F.col("node").alias("a"), F.col("n").alias("n1"), F.col("i").alias("i1"))
+    two = short.select("t", F.col("component").alias("q"), F.col("node").alias("b"), F.col("n").alias("n2"), F.col("i").alias("i2"))
+    # What can still be common from this shingle on must reach 4/9 of both sizes.
+    reach = 9 * F.least(F.col("n1") - F.col("i1"), F.col("n2") - F.col("i2")) >= 4 * (F.col("n1") + F.col("n2"))
+    pairs = meet.join(two, ["t", "q"]).join(one, ["t", "p"]).filter((F.col("n1") >= F.col("n2")) & _near_sizes("n1", "n2") & reach)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -228,32 +248,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = texts.join(wanted, ["_id", "_key"]).dropDuplicates(["node"]).select("node", "_text")
     sets = materialize(found.mapInArrow(_with_sets, "node bigint, shingles array<bigint>"))
 
-    edges, parts = [], None
-    tried = None
-    for turn in range(STAR_ROUNDS + 1):
-        labelled = _labelled(buckets, parts)
-        left = _open_pairs(labelled)
-        if not left:
-            break
-        last = turn == STAR_ROUNDS or turn and left <= 4 * buckets.count()
-        pairs = _all_open(labelled) if last else _stars(labelled, turn)
-        links = materialize(_confirmed(pairs, sets))
-        edges.append(links)
-        whole = edges[0]
-        for more in edges[1:]:
-            whole = whole.union(more)
-        parts = connected_components(whole)
-        if last:
-            break
+    links = materialize(_confirmed(_stars(buckets), sets))
+    parts = materialize(connected_components(links))
+    more = materialize(_confirmed(_prefix_pairs(_open_nodes(buckets, parts), sets), sets))
+    found = parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)
+    parts = connected_components(found)
     return _named(signed, nodes, parts)
 
 
-def _named(signed: DataFrame, nodes: DataFrame, parts: DataFrame | None) -> DataFrame:
-    of_set = nodes.select(F.col("_digest").alias("_d"), "node")
-    if parts is None:
-        of_set = of_set.withColumn("component", F.col("node"))
-    else:
-        of_set = of_set.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _named(signed: DataFrame, nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    of_set = nodes.select(F.col("_digest").alias("_d"), "node").join(parts, "node", "left")
+    of_set = of_set.withColumn("component", F.coalesce("component", "node"))
     rows = signed.select("_id", "_n", "_digest", "_key").join(
         of_set, (F.col("_digest") == F.col("_d")) & (F.col("_n") > 0), "left"
     )
