@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, html_text, minhash, mixing, pii, quality_rules, stages
+from tracewright.llm import bpe, html_text, minhash, mixing, pii, quality_rules, stages, vector_dedup
 from tracewright.session import configure
 
 
@@ -20,6 +20,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "text", F.size("spans").cast("bigint").alias("n_replaced"), spans.alias("spans"))
 
 
+def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = html_text.main_text(_table(spark, sf_dir, "pages"))
     return d.withColumn("n_chars", F.length("text").cast("bigint"))
@@ -127,6 +131,7 @@ FROM base LEFT JOIN word_js USING (r) LEFT JOIN char_js USING (r)
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_vector_dedup": op2_vector_dedup,
     "op4_html_text": op4_html_text,
     "op5_mixing": op5_mixing,
     "op6_bpe": op6_bpe,
