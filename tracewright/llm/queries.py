@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, html_text, minhash, mixing, pii, quality_rules, stages, vector_dedup
+from tracewright.llm import bpe, html_text, minhash, mixing, pii, quality_rules, secret_scan, stages, vector_dedup
 from tracewright.session import configure
 
 
@@ -49,6 +49,19 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = secret_scan.train(secret_scan.labelled_samples(docs))
+    d = secret_scan.scan(docs, keep=["doc_id"], model=model)
+    base = secret_scan.joined(secret_scan.KINDS[:3])
+    return d.select(
+        "doc_id",
+        *[F.size(f"_{kind}").cast("bigint").alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined(secret_scan.KINDS).alias("spans"),
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -135,6 +148,7 @@ QUERIES = {
     "op4_html_text": op4_html_text,
     "op5_mixing": op5_mixing,
     "op6_bpe": op6_bpe,
+    "op8_secret_scan": op8_secret_scan,
     "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
 }
