@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, html_text, minhash, mixing, pii, quality_rules, secret_scan, stages, vector_dedup
+from tracewright.llm import bpe, html_text, minhash, mixing, pii, quality_rules, secret_scan, stages, suffix_dedup, vector_dedup
 from tracewright.session import configure
 
 
@@ -24,6 +24,17 @@ def op2_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    return d.select(
+        F.col("_id").alias("doc_id"),
+        F.col("_n_bytes").alias("n_bytes"),
+        (F.col("_n_bytes") - F.octet_length("_kept")).alias("n_removed"),
+        F.size("_spans").cast("bigint").alias("n_spans"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = html_text.main_text(_table(spark, sf_dir, "pages"))
     return d.withColumn("n_chars", F.length("text").cast("bigint"))
@@ -145,6 +156,7 @@ FROM base LEFT JOIN word_js USING (r) LEFT JOIN char_js USING (r)
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_vector_dedup": op2_vector_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_html_text": op4_html_text,
     "op5_mixing": op5_mixing,
     "op6_bpe": op6_bpe,
