@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, html_text, minhash, mixing, pii, quality_rules, secret_scan, stages, suffix_dedup, vector_dedup
+from tracewright.llm import bpe, compact_windows, html_text, minhash, mixing, pii, quality_rules, secret_scan, stages, suffix_dedup, vector_dedup
 from tracewright.session import configure
 
 
@@ -60,6 +60,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.near_duplicate_passages(_table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = secret_scan.train(secret_scan.labelled_samples(docs))
@@ -160,6 +164,7 @@ QUERIES = {
     "op4_html_text": op4_html_text,
     "op5_mixing": op5_mixing,
     "op6_bpe": op6_bpe,
+    "op7_compact_windows": op7_compact_windows,
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
