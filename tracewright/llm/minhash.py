@@ -221,13 +221,14 @@ def _prefix_pairs(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     first = materialize(rarest.filter("x.f > 1").select(F.col("x.t").alias("t"), "i", "node", "component", "n"))
     # The smaller set of a pair meets the larger one in its first n - ceil(8/9 n) + 1 already.
     short = first.filter(F.col("i") <= F.col("n") - F.ceil(8 * F.col("n") / 9))
-    meet = short.select("t", F.col("component").alias("q")).distinct()
-    meet = meet.join(first.select("t", F.col("component").alias("p")).distinct(), "t").filter("p <> q")
-    one = first.select("t", F.col("component").alias("p"), F.col("node").alias("a"), F.col("n").alias("n1"), F.col("i").alias("i1"))
-    two = short.select("t", F.col("component").alias("q"), F.col("node").alias("b"), F.col("n").alias("n2"), F.col("i").alias("i2"))
+    one = first.select("t", F.col("component").alias("p"), F.col("n").alias("n1"), F.col("i").alias("i1"), F.col("node").alias("a"))
+    two = short.select("t", F.col("component").alias("q"), F.col("n").alias("n2"), F.col("i").alias("i2"), F.col("node").alias("b"))
     # What can still be common from this shingle on must reach 4/9 of both sizes.
     reach = 9 * F.least(F.col("n1") - F.col("i1"), F.col("n2") - F.col("i2")) >= 4 * (F.col("n1") + F.col("n2"))
-    pairs = meet.join(two, ["t", "q"]).join(one, ["t", "p"]).filter((F.col("n1") >= F.col("n2")) & _near_sizes("n1", "n2") & reach)
+    able = (F.col("p") != F.col("q")) & (F.col("n1") >= F.col("n2")) & _near_sizes("n1", "n2") & reach
+    # Components meet by size and position, of which even a huge component has few at a shingle.
+    meet = one.drop("a").distinct().join(two.drop("b").distinct().withColumnRenamed("t", "t2"), (F.col("t") == F.col("t2")) & able)
+    pairs = meet.drop("t2").join(two, ["t", "q", "n2", "i2"]).join(one, ["t", "p", "n1", "i1"])
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.select("a", "b").distinct()
 

@@ -21,7 +21,7 @@ VOCABULARY = "word_bpe_49k.json"
 
 def _packed(docs: DataFrame) -> DataFrame:
     """Each row as one struct beside the columns that operators read, so that no other column can clash."""
-    return docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text", "lang", "source")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", "text", "lang", "source")
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with pseudonyms; n_chars follows the text where that has changed."""
     configure(spark)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "text")
     rows = pii.pseudonymize(rows, PII_KEY, spans="_spans")
     columns = {c: F.col("_row")[c] for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in columns:
