@@ -38,6 +38,7 @@ MIN_SAMPLES = 8
 MIN_WORD = 8
 SAMPLE_DOCUMENTS = 20_000
 SMOOTHING = 0.5
+PRIOR = 8.0
 
 
 def spans(text: Column, pattern: str, group: int = 0) -> Column:
@@ -113,9 +114,14 @@ def train(samples: DataFrame) -> list[float] | None:
         return None
     log: dict[bool, list[float]] = {}
     for kind in (True, False):
-        cells = [counts.get((kind, i), 0) + SMOOTHING for i in range(SYMBOLS * SYMBOLS)]
-        sums = [sum(cells[a * SYMBOLS : (a + 1) * SYMBOLS]) for a in range(SYMBOLS)]
-        log[kind] = [math.log2(x / sums[i // SYMBOLS]) for i, x in enumerate(cells)]
+        cells = [counts.get((kind, i), 0) for i in range(SYMBOLS * SYMBOLS)]
+        second = [sum(cells[b::SYMBOLS]) + SMOOTHING for b in range(SYMBOLS)]
+        total = sum(second)
+        # A pair not seen falls back on how common its second character is in this class.
+        first = [sum(cells[a * SYMBOLS : (a + 1) * SYMBOLS]) + PRIOR for a in range(SYMBOLS)]
+        log[kind] = [
+            math.log2((x + PRIOR * second[i % SYMBOLS] / total) / first[i // SYMBOLS]) for i, x in enumerate(cells)
+        ]
     return [a - b for a, b in zip(log[True], log[False], strict=True)]
 
 
