@@ -429,7 +429,7 @@ def plan_requests(spark, sf_dir):
 @query(
     "multi_turn_samples",
     """
-SELECT conv_id AS id, 0 AS part, count(*) AS n_turns, string_agg(substr(sha256(text), 1, 8), ',' ORDER BY turn) AS turn_hashes
+SELECT conv_id AS id, string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) AS numbers, count(*) AS n_turns, string_agg(substr(sha256(text), 1, 8), ',' ORDER BY turn) AS turn_hashes
 FROM conversations WHERE role = 'user' GROUP BY conv_id""",
 )
 def multi_turn_samples(spark, sf_dir):
@@ -437,7 +437,8 @@ def multi_turn_samples(spark, sf_dir):
     steps = F.array().cast("array<string>").alias("expected_steps")
     nested = multiturn.nest_turns(turns.select(F.col("conv_id").alias("id"), "turn", F.col("text").alias("user"), steps))
     hashes = F.transform("turns", lambda t: F.substring(F.sha2(t.user, 256), 1, 8))
-    return nested.select("id", "part", F.size("turns").alias("n_turns"), F.array_join(hashes, ",").alias("turn_hashes"))
+    numbers = F.array_join(F.transform("turns", lambda t: t.turn.cast("string")), ",")
+    return nested.select("id", numbers.alias("numbers"), F.size("turns").alias("n_turns"), F.array_join(hashes, ",").alias("turn_hashes"))
 
 
 @query(

@@ -86,3 +86,20 @@ def test_first_rows_limits_before_the_shuffle(spark):
     top = first_rows(df, ["k"], "o", 2)
     assert sorted(r.o for r in top.collect()) == [0, 1, 2, 3]
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mix_quotas_deal_out_every_row():
+    from tracewright.operators.metrics import mix_quotas
+
+    quotas = mix_quotas(107, {"a": 34, "b": 33, "c": 33})
+    assert sum(quotas.values()) == 107 and quotas == {"a": 37, "b": 35, "c": 35}
+
+
+def test_last_object_of_an_id_counts(spark):
+    from tracewright.operators import lookup
+
+    rows = [("s", "v1", "vehicle", 1), ("s", "v1", "camera", 5), ("s", "v2", "vehicle", 2)]
+    objects = spark.createDataFrame(rows, "scenario_id string, id string, type string, ord long")
+    assert {(r.id, r.type) for r in lookup.types_by_id(objects).collect()} == {("v1", "camera"), ("v2", "vehicle")}
+    asked = spark.createDataFrame([(1, "s", "v1", "camera"), (2, "s", "v1", "vehicle")], "query_id long, scenario_id string, object_id string, required_type string")
+    assert [(r.query_id, r.error) for r in lookup.reference_errors(asked, objects).collect()] == [(2, "type_mismatch")]

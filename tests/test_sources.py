@@ -148,11 +148,11 @@ def test_render_does_not_rescan_values(spark):
     assert df.select(text).first()[0] == '{b} and x, {"utterances": []}'
 
 
-def test_long_conversations_continue_in_parts(spark):
-    turns = spark.range(25).select(F.lit("c").alias("id"), F.col("id").alias("turn"), F.col("id").cast("string").alias("user"))
-    rows = multiturn.nest_turns(turns, turns_per_row=10).orderBy("part").collect()
-    assert [len(r.turns) for r in rows] == [10, 10, 5]
-    assert [t.user for r in rows for t in r.turns] == [str(i) for i in range(25)]
+def test_long_conversations_stay_in_one_row(spark):
+    turns = spark.range(1000).select(F.lit("c").alias("id"), F.col("id").alias("turn"), F.col("id").cast("string").alias("user"))
+    rows = multiturn.nest_turns(turns.repartition(7)).collect()
+    assert len(rows) == 1
+    assert [(t.turn, t.user) for t in rows[0].turns] == [(i, str(i)) for i in range(1000)]
 
 
 def test_worlds(spark):

@@ -9,6 +9,7 @@ from ..functions.text import language_of
 from ..plans.traces import expected_block
 from ..plans.vocabulary import DEFAULT_LAYERS, TOOL_CATALOG_VERSION
 from ..sources import schema
+from .negatives import ADVERSARIAL
 
 # Position of a sample in the dataset: scenario, positives before negatives, blueprint,
 # mutation, utterance. Structs compare field by field.
@@ -16,12 +17,15 @@ ORDER = ["scenario", "negative", "blueprint", "mutation", "utterance"]
 
 
 def all_blueprints(positives: DataFrame, negatives: DataFrame | None = None) -> DataFrame:
-    """Traced positives and negatives in one table; negatives have empty traces."""
+    """Traced positives and negatives in one table; negatives have empty traces.
+
+    Within a scenario the positives come first, then all mutations, then what a model has written.
+    """
     table = positives.withColumns({"mutation": F.lit(0), "stage": F.lit(0)})
     if negatives is None:
         return table
     empty = F.array().cast(schema.TRACE)
-    blank = negatives.withColumns({"gold_trace": empty, "stage": F.lit(1)})
+    blank = negatives.withColumns({"gold_trace": empty, "stage": F.when(F.col("mutation") == ADVERSARIAL, 2).otherwise(1)})
     return table.unionByName(blank, allowMissingColumns=True)
 
 

@@ -48,7 +48,7 @@ def argument_errors(samples: DataFrame, params: DataFrame) -> DataFrame:
     steps = samples.select("id", F.posexplode("gold_trace").alias("pos", "s"))
     given = steps.select(
         "id", "pos", F.col("s.tool").alias("tool"), F.explode(F.try_variant_get("s.args", "$", "map<string,variant>")).alias("param", "_value")
-    ).join(F.broadcast(kinds), ["tool", "param"])
+    ).join(kinds, ["tool", "param"])
     actual = F.schema_of_variant("_value")
     text = F.try_variant_get("_value", "$", "string")
     is_reference = (actual == "STRING") & text.startswith(F.lit("$"))

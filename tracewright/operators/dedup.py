@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import normalize_text, short_hash, trace_structure_hash
+from ..functions.text import normalize_text, trace_structure
 
 
 def dedup_keys(samples: DataFrame, scope: str = "global") -> DataFrame:
     """Narrow rows (sample_ord, id, exact, norm, composite, trace) of hashed keys.
 
+    Keys are whole SHA-256 values: with 64 bits, different samples would meet at a few billion.
+
     `scope="scenario"` adds the scenario to the composite key; by default the same task on the
     same target id counts as a duplicate in whatever scenario it is asked.
     """
@@ -26,15 +28,15 @@ def dedup_keys(samples: DataFrame, scope: str = "global") -> DataFrame:
     parts = [F.col("task_type"), target, time_range]
     if scope == "scenario":
         parts.append(F.col("scenario_id"))
-    structure = trace_structure_hash(F.col("gold_trace"))
+    structure = F.sha2(trace_structure(F.col("gold_trace")), 256)
     return samples.select(
         "sample_ord",
         "id",
-        short_hash(F.col("user_request")).alias("exact"),
-        short_hash(normalize_text(F.col("user_request"))).alias("norm"),
-        short_hash(F.concat_ws("|", *parts)).alias("composite"),
+        F.sha2(F.col("user_request"), 256).alias("exact"),
+        F.sha2(normalize_text(F.col("user_request")), 256).alias("norm"),
+        F.sha2(F.concat_ws("|", *parts), 256).alias("composite"),
         F.when(
-            F.size("gold_trace") > 0, short_hash(F.concat_ws("|", "scenario_id", structure, target))
+            F.size("gold_trace") > 0, F.sha2(F.concat_ws("|", "scenario_id", structure, target), 256)
         ).alias("trace"),
     )
 

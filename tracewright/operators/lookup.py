@@ -36,11 +36,19 @@ def by_id(objects: DataFrame) -> DataFrame:
 
 
 def object_info(queries: DataFrame, objects: DataFrame) -> DataFrame:
-    """queries(query_id, scenario_id, object_id) -> id, type, name, geometry, properties."""
-    table = objects.select("scenario_id", F.col("id").alias("object_id"), "type", "name", "geom", "props")
+    """queries(query_id, scenario_id, object_id) -> id, type, name, geometry, properties.
+
+    Of objects that share an id the last one listed is found.
+    """
+    table = by_id(objects).select("scenario_id", F.col("id").alias("object_id"), "type", "name", "geom", "props")
     return queries.join(table, ["scenario_id", "object_id"])
 
 
+def types_by_id(objects: DataFrame) -> DataFrame:
+    """(scenario_id, id, type) of the last object listed under each id."""
+    return objects.groupBy("scenario_id", "id").agg(F.max_by("type", "ord").alias("type"))
+
+
 def objects_of_type(objects: DataFrame, object_type: str) -> DataFrame:
     return objects.filter(F.col("type") == object_type)
 
@@ -89,7 +97,9 @@ def reference_errors(queries: DataFrame, objects: DataFrame) -> DataFrame:
 
     `error` is `object_not_found`, or `type_mismatch` when a type is required and differs.
     """
-    table = objects.select("scenario_id", F.col("id").alias("object_id"), F.col("type").alias("actual_type"))
+    table = types_by_id(objects).select(
+        "scenario_id", F.col("id").alias("object_id"), F.col("type").alias("actual_type")
+    )
     found = queries.join(table, ["scenario_id", "object_id"], "left")
     error = F.when(F.col("actual_type").isNull(), "object_not_found").when(
         F.col("required_type") != F.col("actual_type"), "type_mismatch"

@@ -91,5 +91,13 @@ def task_group(task_type: Column) -> Column:
 
 
 def pick_by_task_mix(samples: DataFrame, total: int, mix: dict[str, int] | None = None, seed: str = "") -> DataFrame:
-    quotas = {name: total * share // 100 for name, share in (mix or TASK_MIX).items()}
-    return pick_by_quota(samples, task_group(F.col("task_type")), quotas, seed)
+    return pick_by_quota(samples, task_group(F.col("task_type")), mix_quotas(total, mix or TASK_MIX), seed)
+
+
+def mix_quotas(total: int, mix: dict[str, int]) -> dict[str, int]:
+    """`total` rows dealt out by percentages; what rounding down leaves goes to the largest remainders."""
+    quotas = {name: total * share // 100 for name, share in mix.items()}
+    left = total * sum(mix.values()) // 100 - sum(quotas.values())
+    for name in sorted(mix, key=lambda n: -(total * mix[n] % 100))[:left]:
+        quotas[name] += 1
+    return quotas

@@ -5,19 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TURNS_PER_ROW = 256
 
+def nest_turns(turns: DataFrame) -> DataFrame:
+    """turns(id, turn, ...) -> (id, turns): one row per conversation, all its turns in order.
 
-def nest_turns(turns: DataFrame, turns_per_row: int = TURNS_PER_ROW) -> DataFrame:
-    """turns(id, turn, ...) -> (id, part, turns), the other columns nested in turn order.
-
-    A conversation of up to `turns_per_row` turns is one row with part 0; a longer one continues
-    in further parts, so that no row has to hold it all.
+    Each nested turn has its number and the other columns. A sample is one row whatever its length,
+    as a reader of the dataset expects; a row is as large as its conversation.
     """
     rest = [c for c in turns.columns if c not in ("id", "turn")]
-    part = F.floor(F.col("turn") / turns_per_row)
-    return (
-        turns.groupBy("id", part.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("turn", F.struct(*rest).alias("said")))).alias("_turns"))
-        .select("id", "part", F.transform("_turns", lambda t: t.said).alias("turns"))
-    )
+    return turns.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("turn", *rest))).alias("turns"))

@@ -129,7 +129,7 @@ def pick_by_hash(
         keyed.groupBy(group, "_prefix")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_upto", F.sum("_n").over(upto))
-        .join(F.broadcast(quotas), group)
+        .join(quotas, group)
     )
     # The last prefix that starts below the quota: everything before it fits whole.
     cut = (
@@ -140,7 +140,7 @@ def pick_by_hash(
             F.max_by(F.col("quota") - F.col("_upto") + F.col("_n"), "_prefix").alias("_open"),
         )
     )
-    marked = keyed.join(F.broadcast(cut), group).filter(F.col("_prefix") <= F.col("_cut"))
+    marked = keyed.join(cut, group).filter(F.col("_prefix") <= F.col("_cut"))
     whole = marked.filter(F.col("_prefix") < F.col("_cut")).select(*columns)
     at_cut = Window.partitionBy(group).orderBy("_hash")
     edge = (

@@ -19,7 +19,7 @@ from ..functions.variants import string_value
 from ..plans.catalog import ID_ARGUMENTS, SEARCH_TOOLS, TOOLS
 from ..plans.vocabulary import CLEAR_SCOPES, SLOTS
 from . import spatial
-from .lookup import resolve_reference
+from .lookup import resolve_reference, types_by_id
 
 # Fixed value: the form of a reference to an earlier result, as a whole string argument.
 REFERENCE = r"(?U)^\$(\w+)\.(\w+)$"
@@ -232,7 +232,7 @@ def wanted_ids(stepped: DataFrame) -> Column:
 def with_types(stepped: DataFrame, objects: DataFrame) -> DataFrame:
     """Add `types`, a map from each id the sample refers to to its type; unknown ids are absent."""
     asked = stepped.select("id", "scenario_id", F.explode(wanted_ids(stepped)).alias("object_id"))
-    table = objects.select("scenario_id", F.col("id").alias("object_id"), "type")
+    table = types_by_id(objects).withColumnRenamed("id", "object_id")
     found = (
         asked.join(table, ["scenario_id", "object_id"])
         .groupBy("id")
