@@ -243,8 +243,12 @@ def test_mix(spark, docs, none, table):
         assert r.source_size == sizes[r.source] and abs(r.target - want[r.source]) < 1e-6 * max(1, want[r.source])
         assert r.copies in (0, 1, 2)
         taken[r.source] += r.size * r.copies * r.repeats
-    for s in sizes:
-        assert abs(taken[s] - want[s]) <= 0.02 * want[s] + 1
+    largest = collections.Counter()
+    for r in all_rows:
+        largest[r[3]] = max(largest[r[3]], len(WORD.findall(r[1] or "")))
+    for s in sizes:  # documents are taken whole, so one that is a source by itself sets how near it can get
+        near = largest[s] / 2 if largest[s] > 0.2 * want[s] else 0.02 * want[s] + 1
+        assert abs(taken[s] - want[s]) <= near
     assert sum(r.repeats for r in got) == len(all_rows)
     key = lambda r: (str(r.source), str(r.doc_id), r.size, r.copies)
     assert sorted(map(key, got)) == sorted(map(key, mixing.mix(df.repartition(7)).collect()))
