@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WHITE = " \t\n\x0b\f\r"
@@ -23,3 +23,15 @@ def words_of(text: Column) -> Column:
 def count_chars(text: Column, chars: str) -> Column:
     """How many code points of the text are one of `chars`."""
     return F.length(text) - F.length(F.translate(text, chars, ""))
+
+
+def sealed(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The frame with these columns computed once, whatever is filtered on them later.
+
+    A filter on a computed column is pushed below its projection with the whole expression put in
+    place of the column, also inside of lambda functions, where it would run once per element. Filters
+    on what a generator returns stay above it.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    packed = df.select(*[F.col(f"`{c}`") for c in rest], F.explode(F.array(F.struct(*columns))).alias("_sealed"))
+    return packed.select(*[F.col(f"`{c}`") for c in rest], *[F.col(f"_sealed.{c}").alias(c) for c in columns])
