@@ -294,6 +294,31 @@ def test_passages(docs, none, table):
     assert compact_windows.near_duplicate_passages(none).count() == 0
 
 
+def test_edited_passages_as_by_brute_force():
+    """Passages of 50 words and more with substituted, inserted and deleted words, against all pairs of spans of that size."""
+    rng, cw = random.Random(8), compact_windows
+    some = 0
+    for n in (50, 55, 60, 70, 80, 85, 120):
+        for edits in (1, 1, 2):
+            words = [rng.randrange(1, 1 << 30) for _ in range(n)]
+            other = list(words)
+            for _ in range(edits):
+                at = rng.randrange(len(other))
+                other[at : at + rng.choice((0, 1))] = [rng.randrange(1, 1 << 30)] * rng.choice((0, 1))
+            around = [[rng.randrange(1, 1 << 30) for _ in range(12)] for _ in range(4)]
+            one, two = around[0] + words + around[1], around[2] + other + around[3]
+            x, y = (np.array([hash(tuple(w[i : i + 5])) for i in range(len(w) - 4)]) for w in (one, two))
+            spans = [(a, a + s) for s in (46, n - 4) for a in range(min(len(x), len(y)) - s + 1)]
+            want = any(cw.alike(x[a:b], y[c:d]) >= 0.8 for a, b in spans for c, d in spans if abs(a - c) <= 4)
+            seeds = np.intersect1d(x, y, return_indices=True)
+            found = [cw.best_passage(x, y, int(i), int(j)) for i, j in zip(*seeds[1:], strict=True)]
+            assert any(found) == want
+            some += want
+            for p in filter(None, found):
+                assert min(p[1] - p[0], p[3] - p[2]) >= 46 and cw.alike(x[p[0] : p[1]], y[p[2] : p[3]]) == p[4] >= 0.8
+    assert some >= 10
+
+
 def test_compact_windows_are_cartesian_nodes():
     rng = np.random.default_rng(1)
     zero = np.zeros(1, np.uint64)
