@@ -294,6 +294,28 @@ def test_passages(docs, none, table):
     assert compact_windows.near_duplicate_passages(none).count() == 0
 
 
+def test_passages_of_two_documents_with_frequent_lines(spark):
+    """Passages of two documents each, made of lines that many other documents hold apart from each other."""
+    rng = random.Random(12)
+    lines = [prose(rng, 10) for _ in range(12)]
+    texts = {}
+    for i in range(40):
+        own = [rng.choice(lines) if k % 2 else prose(rng, 11) for k in range(6)]
+        for doc in (50 + 2 * i, 51 + 2 * i):
+            texts[doc] = " ".join([prose(rng, 30), *own, prose(rng, 30)])
+            texts[1000 + doc] = " ".join(x for line in rng.sample(lines, 6) for x in (prose(rng, 40), line))
+            texts[-doc] = " ".join(x for line in rng.sample(lines, 6) for x in (prose(rng, 40), line))
+    for doc, t in list(texts.items()):
+        assert doc < 50 or doc > 129 or texts[doc ^ 1].split()[30:93] == t.split()[30:93]
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(4)
+    covered = collections.defaultdict(set)
+    for r in compact_windows.near_duplicate_passages(df).collect():
+        covered[r.doc_id].update(range(r.start_word, r.end_word))
+        covered[r.like_doc_id].update(range(r.like_start, r.like_end))
+    lost = [doc for doc in range(50, 130) if not covered[doc].issuperset(range(30, 93))]
+    assert not lost
+
+
 def test_edited_passages_as_by_brute_force():
     """Passages of 50 words and more with substituted, inserted and deleted words, against all pairs of spans of that size."""
     rng, cw = random.Random(8), compact_windows
