@@ -8,6 +8,7 @@ import re
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -316,6 +317,19 @@ def test_passages_of_two_documents_with_frequent_lines(spark):
     assert not lost
 
 
+@pytest.mark.parametrize("most", (4, 1 << 40))
+def test_joint_windows_are_the_least_places_of_all_passages(monkeypatch, most):
+    monkeypatch.setattr(compact_windows, "MIN_SHINGLES", 6)
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        n = int(rng.integers(6, 60))
+        both = [np.concatenate(([0], rng.integers(1, most, n) << 22, [0])).astype(np.uint64) for _ in range(2)]
+        one, two = (compact_windows.compact_windows(v, 6) for v in both)
+        want = {tuple(a + int(np.argmin(v[a:b])) for v in both) for a in range(1, n + 1) for b in range(a + 6, n + 2)}
+        i, j = compact_windows.joint(one, two)
+        assert sorted(zip(one[1][i].tolist(), two[1][j].tolist(), strict=True)) == sorted(want)
+
+
 def test_edited_passages_as_by_brute_force():
     """Passages of 50 words and more with substituted, inserted and deleted words, against all pairs of spans of that size."""
     rng, cw = random.Random(8), compact_windows
