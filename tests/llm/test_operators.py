@@ -207,6 +207,17 @@ def test_pages(spark):
     assert html_text.main_text(df.filter("false")).count() == 0
 
 
+LAYOUTS = ["div class='page with-sidebar'", "div class='layout no-sidebar'", "div class='post comments-open'", "div id='page' class='has-search'", "form", "div class='main search'"]
+
+
+@pytest.mark.parametrize("start", LAYOUTS)
+def test_layout_around_the_content_is_kept(start):
+    for name, teaser in (("article", "<article>teaser</article>"), ("div", "teaser")):
+        rest = f"<aside class='related'>{teaser}</aside><div class='sidebar'>side</div><nav>menu</nav>"
+        page = f"<body><{start}><{name}>one long text of this page, longer than all of the rest<p>two</{name}>{rest}</{start.split()[0]}></body>"
+        assert html_text.extract(page, set()) == "one long text of this page, longer than all of the rest\ntwo"
+
+
 def test_wrapper_has_groups_and_slots():
     frames = [["<ul", "#a", ">ul", "<p", "#x"], ["<ul", "#a", ">ul", "<p", "#y", "<hr"], ["<ul", "#a", ">ul", "<ul", "#b", ">ul", "<p", "#z"]]
     wrapper = html_text.infer(frames)
