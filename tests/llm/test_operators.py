@@ -404,6 +404,18 @@ def test_secrets(spark, docs, none, table):
     assert secret_scan.train(secret_scan.labelled_samples(none)) is None
 
 
+def test_rare_secrets_train_a_model_in_any_number_of_documents(spark):
+    rng = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = [f"{i} secret = {''.join(rng.choices(letters, k=24))}" for i in range(10)]
+    few = spark.createDataFrame([(t,) for t in texts + [f"{prose(rng, 30)} {i}" for i in range(40)]], "text string")
+    more = spark.range(0, 60_000, 1, 8).select(F.concat(F.lit("nothing hidden "), "id").alias("text"))
+    for df in (few, few.union(more)):
+        samples = secret_scan.labelled_samples(df)
+        assert samples.filter("random").agg(F.sum("times")).first()[0] == 10
+        assert secret_scan.train(samples) is not None
+
+
 def test_markov_models_tell_random_strings(spark):
     rng = random.Random(4)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

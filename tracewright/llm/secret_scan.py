@@ -4,9 +4,10 @@ The patterns give spans of kinds assign, access and hex. Beside them two Markov
 pairs, one of random strings and one of ordinary identifiers, judge every other run of at least
 `MIN_LENGTH` characters of keys: a run whose mean log-likelihood ratio is above `MIN_RATIO` bits a
 character becomes a span of kind random. The models are trained on labelled samples: the values of
-base spans are random strings, long words of the same documents are ordinary ones. The sample is at
-most about `SAMPLE_DOCUMENTS` documents, drawn by hash; a bound on the fit alone, all documents are
-scanned. What reaches the driver are pair counts over a fixed alphabet.
+base spans are random strings, long words of documents without any are ordinary ones. Both are collected over all
+documents; of each class about `SAMPLE_VALUES` distinct values are used, drawn by their hash, with all their
+occurrences, so rare secrets are not thinned out by other documents. What reaches the driver are pair counts over a
+fixed alphabet.
 
 Defined cases: a null or empty text has no spans; positions are code points, ends exclusive; with fewer
 than `MIN_SAMPLES` samples of either class there is no model and no span of kind random; repeated rows get
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm.words import text_of, words_of
+from tracewright.session import materialize
 
 # Fixed patterns and their least lengths (of group 2, and of the whole match).
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -36,7 +38,7 @@ MIN_LENGTH = 20
 MIN_RATIO = 0.8
 MIN_SAMPLES = 8
 MIN_WORD = 8
-SAMPLE_DOCUMENTS = 20_000
+SAMPLE_VALUES = 100_000
 SMOOTHING = 0.5
 PRIOR = 8.0
 
@@ -86,25 +88,27 @@ def _pairs(samples: DataFrame) -> DataFrame:
     """Counts of character pairs per class, and how many samples each class has."""
     n = F.length("value")
     codes = F.transform(F.sequence(F.lit(1), n), lambda i: F.instr(F.lit(ALPHABET), F.substring(F.col("value"), i, F.lit(1))))
-    rows = samples.filter(n >= 2).select("random", codes.alias("codes"))
+    times = F.col("times") if "times" in samples.columns else F.lit(1).alias("times")
+    rows = samples.filter(n >= 2).select("random", times, codes.alias("codes"))
     moved = F.zip_with("codes", F.slice("codes", 2, F.size("codes")), lambda a, b: a * SYMBOLS + b)
     # Entry -1 counts the sample itself.
-    return rows.select("random", F.explode(F.concat(F.array(F.lit(-1)), F.filter(moved, lambda x: x.isNotNull()))).alias("pair")).groupBy(
-        "random", "pair"
-    ).agg(F.count("*").alias("n"))
+    pairs = F.explode(F.concat(F.array(F.lit(-1)), F.filter(moved, lambda x: x.isNotNull()))).alias("pair")
+    return rows.select("random", "times", pairs).groupBy("random", "pair").agg(F.sum("times").alias("n"))
 
 
 def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(random, value): values of base spans, and long words of documents that have none."""
-    n = docs.count()
-    share = min(1.0, SAMPLE_DOCUMENTS / max(n, 1))
-    drawn = docs.filter(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    d = with_base_spans(drawn, text)
-    hits = d.select(F.explode(F.concat("_assign", "_access", "_hex")).alias("x")).select(F.lit(True).alias("random"), "x.value")
-    clean = d.filter((F.size("_assign") == 0) & (F.size("_access") == 0) & (F.size("_hex") == 0))
-    words = clean.select(F.explode(words_of(F.col("_text"))).alias("w"))
-    words = words.select(F.lit(False).alias("random"), F.regexp_extract("w", "[A-Za-z0-9_-]{8,}", 0).alias("value"))
-    return hits.union(words.filter(F.length("value") >= MIN_WORD))
+    """(random, value, times): values of base spans, and long words of documents that have none, with their occurrences."""
+    d = with_base_spans(docs, text).withColumn("_base", F.concat("_assign", "_access", "_hex"))
+    hits = F.transform("_base", lambda x: x["value"])
+    long = F.filter(words_of(F.col("_text")), lambda w: F.length(w) >= MIN_WORD)
+    words = F.transform(long, lambda w: F.regexp_extract(w, f"[A-Za-z0-9_-]{{{MIN_WORD},}}", 0))
+    found = F.size("_base") > 0
+    rows = d.select(found.alias("random"), F.explode(F.when(found, hits).otherwise(words)).alias("value")).filter("value <> ''")
+    values = materialize(rows.groupBy("random", "value").agg(F.count("*").alias("times")))
+    distinct = {r["random"]: r["count"] for r in values.groupBy("random").count().collect()}
+    drawn = F.pmod(F.xxhash64("value"), F.lit(1_000_000_000))
+    share = {kind: math.ceil(min(1.0, SAMPLE_VALUES / max(1, distinct.get(kind, 0))) * 1e9) for kind in (True, False)}
+    return values.filter(drawn < F.when(F.col("random"), share[True]).otherwise(share[False]))
 
 
 def train(samples: DataFrame) -> list[float] | None:
