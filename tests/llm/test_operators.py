@@ -106,6 +106,15 @@ def test_pii_links_equal_values_and_keeps_formats(docs, none, table):
     assert pii.replaced(one, pii.find(one, back)) == table[26][1]
 
 
+def test_values_before_capital_words_and_cards_in_three_groups():
+    pseudonyms = pii.Pseudonyms(b"k")
+    values = ["BE68539007547034", "AT61 1904 3002 3457 3201", "3782 822463 10005", "3782-822463-10005"]
+    text = "{} USD, {} BIC, {} or {} and {} GB82 WEST 1234 5698 7654 32".format(*values, values[0])
+    got = [(kind, text[a:b]) for a, b, kind, _ in pii.find(text, pseudonyms)]
+    want = [*zip(("iban", "iban", "card", "card", "iban"), [*values, values[0]], strict=True)]
+    assert got == [*want, ("iban", "GB82 WEST 1234 5698 7654 32")]
+
+
 def test_permutation_is_a_bijection():
     p = pii.Permutation(b"k", "x", 777)
     assert sorted(map(p.apply, range(777))) == list(range(777))

@@ -188,7 +188,7 @@ PATTERNS = {
     "ipv4": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9.\-/])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[-/.][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2,3}[ -][0-9]{1,7})(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2,3}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
 }
 # Every kind but e-mail starts with a digit, `+`, `(` or two capitals before digits; most texts hold none of it.
@@ -212,12 +212,24 @@ def _emails(text: str) -> Iterator[re.Match]:
         at = text.find("@", max(at + 1, end))
 
 
+def _ibans(text: str, pseudonyms: Pseudonyms) -> Iterator[re.Match]:
+    """The longest valid one at each place: a match may have taken words behind it, which are left off one by one."""
+    at = 0
+    while found := _IBAN.search(text, at):
+        m, at = found, found.start() + 1
+        while m and pseudonyms.iban(m.group()) is None:
+            m = _IBAN.match(text, m.start(), max(m.start(), text.rfind(" ", m.start(), m.end())))
+        if m:
+            yield m
+            at = m.end()
+
+
 def find(text: str, pseudonyms: Pseudonyms) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of the valid values, in order and without overlap."""
     order = list(PATTERNS)
     found = [("email", m) for m in _emails(text)]
     if _DIGIT.search(text):
-        found += [("iban", m) for m in _IBAN.finditer(text)]
+        found += [("iban", m) for m in _ibans(text, pseudonyms)]
         found += [(m.lastgroup, m) for m in _ANY.finditer(text)]
     out: list[tuple[int, int, str, str]] = []
     for kind, m in sorted(found, key=lambda x: (x[1].start(), order.index(x[0]))):
