@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe, compact_windows, html_text, minhash, mixing, pii, quality_rules, secret_scan, stages, suffix_dedup, vector_dedup
+from tracewright.llm import (
+    bpe,
+    compact_windows,
+    decontaminate,
+    html_text,
+    minhash,
+    mixing,
+    pii,
+    quality_rules,
+    secret_scan,
+    stages,
+    suffix_dedup,
+    token_align,
+    vector_dedup,
+)
 from tracewright.session import configure
 
 
@@ -48,6 +61,8 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     path = public_tokenizers.path(stages.VOCABULARY)
     d = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path)
     d = bpe.decode(d, path)
@@ -87,6 +102,29 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", *[F.col(f"_{c}").alias(c) for c in counts])
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    d = decontaminate.find_leaks(docs, benchmark, keep=["doc_id"])
+    n_hit = F.aggregate("_hits", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return d.select(
+        "doc_id",
+        F.col("_n_words").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("_hits") > 0).alias("contaminated"),
+    )
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    d = token_align.align(_table(spark, sf_dir, "documents"), *paths, keep=["doc_id"])
+    columns = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return d.select("doc_id", *[F.col(f"_{c}").alias(c) for c in columns])
+
+
 # Character classes, words and Jensen-Shannon distances as in quality_rules.
 OP10_SQL = r"""
 WITH w AS (
@@ -157,6 +195,36 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols, n_dup_
 FROM base LEFT JOIN word_js USING (r) LEFT JOIN char_js USING (r)
 """
 
+OP12_SQL = r"""
+WITH w AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n, unnest(
+         CASE WHEN len(words) = 0 THEN []
+              ELSE list_transform(range(1, greatest(len(words) - 8, 2)), lambda i: array_to_string(words[i:i + 9], ' ')) END) AS win
+  FROM w),
+d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+places AS (
+  SELECT r, n, i, array_to_string(words[i:i + n - 1], ' ') AS win
+  FROM (SELECT r, words, n, unnest(range(1, greatest(len(words) - n + 2, 1))) AS i
+        FROM d, (SELECT DISTINCT n FROM windows))),
+found AS (
+  SELECT DISTINCT r, places.n, i, item_id FROM places JOIN windows ON places.n = windows.n AND places.win = windows.win),
+hit AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS at FROM found) GROUP BY r),
+items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(joined, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_vector_dedup": op2_vector_dedup,
@@ -168,8 +236,11 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_token_align": op13_token_align,
 }
 
 ORACLES = {
     "op10_quality_rules": OP10_SQL,
+    "op12_decontaminate": OP12_SQL,
 }
