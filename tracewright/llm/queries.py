@@ -9,6 +9,7 @@ from tracewright.llm import (
     bpe,
     compact_windows,
     decontaminate,
+    hard_negatives,
     html_text,
     minhash,
     mixing,
@@ -102,6 +103,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", *[F.col(f"_{c}").alias(c) for c in counts])
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = F.col("embedding").cast("array<double>")
+    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select(
+        "vec_id", moved.alias("label"), F.when(fine, F.transform(x, lambda v: F.floor(v * 256))).alias("embedding")
+    )
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     d = decontaminate.find_leaks(docs, benchmark, keep=["doc_id"])
@@ -236,6 +247,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_minhash": op9_minhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_decontaminate": op12_decontaminate,
     "op13_token_align": op13_token_align,
 }
