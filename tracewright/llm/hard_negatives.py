@@ -312,10 +312,13 @@ def hard_negatives(
     )
     positives = materialize(_first(_found(trees, near, n_blocks, n_positives, True), ["row"], n_positives))
 
-    low = F.expr(f"int(pmod({low_percent} * score, 100) > 0) + (({low_percent} * score) - pmod({low_percent} * score, 100)) div 100")
-    high = F.expr(f"(({high_percent} * score) - pmod({high_percent} * score, 100)) div 100")
+    def share(percent: int, up: bool) -> Column:
+        x = f"(CAST(score AS DECIMAL(19, 0)) * CAST({percent} AS DECIMAL(9, 0)))"
+        return F.expr(f"({x} - pmod({x}, 100)) div 100" + (f" + int(pmod({x}, 100) > 0)" if up else "")).cast("bigint")
+
+    low, high = share(low_percent, True), share(high_percent, False)
     windows = positives.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("rank", low.cast("bigint").alias("low"), high.cast("bigint").alias("high")))).alias("w")
+        F.array_sort(F.collect_list(F.struct("rank", low.alias("low"), high.alias("high")))).alias("w")
     )
     tiles = labels.select(
         F.col("d").alias("_d"), "pure", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt")

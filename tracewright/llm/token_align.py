@@ -379,7 +379,8 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def document_scores(bits: DataFrame, counts: DataFrame) -> DataFrame:
     """(_block, _place, _n_best, _count_sum): the counts of its pairs, brought back to every document by its block's postings."""
-    found = bits.join(counts, ["_a", "_b"]).select("_block", "_plane", "_n", "_bits", "_docs", "_best")
+    # Counts grow with the vocabulary in use: they are never broadcast.
+    found = bits.join(counts.hint("merge"), ["_a", "_b"]).select("_block", "_plane", "_n", "_bits", "_docs", "_best")
     found = found.repartition("_block").sortWithinPartitions("_block")
     return found.mapInArrow(_scored, "_block bigint, _place int, _n_best bigint, _count_sum bigint")
 
