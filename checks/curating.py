@@ -240,20 +240,22 @@ _STAGE_COUNTS = ", ".join(f"count(*) FILTER ({g}) AS {g}" for g in gates.GATES)
 _CASCADE_KEPT = {
     **CASCADE,
     "ok": f"""
-  SELECT *, CAST(substr(scenario_id, 19) AS BIGINT) AS world, CASE WHEN sel THEN target_id ELSE '' END AS one,
+  SELECT id, scenario_id, CAST(substr(scenario_id, 19) AS BIGINT) AS world, 0 AS stage, doc_id, 0 AS mutation, text, task_type,
+         CASE WHEN sel THEN target_id ELSE '' END AS one,
          CASE WHEN NOT clarify AND family IN (0, 4) THEN coalesce(c_range, 'last_10_minutes') WHEN doc_id % 19 = 0 THEN 'last_year' ELSE '' END AS used_range,
-         NOT clarify AND family < 8 AS traced
-  FROM gated WHERE semantic_pass""",
-    "tools": f"""
-  SELECT *, concat_ws('|', nullif({_TOOLS}, ''), CASE WHEN doc_id % 13 = 0 THEN 'get_object_info' END,
-            CASE WHEN doc_id % 31 = 0 THEN 'clear_artifacts' END, CASE WHEN doc_id % 37 = 0 THEN 'draw_marker' END,
-            CASE WHEN doc_id % 43 = 0 THEN 'resolve_entity|show_popup' END) AS tool_list,
-         row_number() OVER (ORDER BY world, doc_id) AS rk
-  FROM ok""",
+         concat_ws('|', nullif({_TOOLS}, ''), CASE WHEN doc_id % 31 = 0 THEN 'clear_artifacts' END, CASE WHEN doc_id % 37 = 0 THEN 'draw_marker' END,
+            CASE WHEN doc_id % 43 = 0 THEN 'resolve_entity|show_popup' END, CASE WHEN doc_id % 59 = 0 THEN 'get_object_info|resolve_entity|show_popup' END,
+            CASE WHEN doc_id % 67 = 0 THEN 'get_object_info|resolve_entity|get_object_info|resolve_entity|show_popup' END,
+            CASE WHEN doc_id % 71 = 0 THEN 'get_current_map_state' END) AS tool_list
+  FROM (SELECT *, NOT clarify AND family < 8 AS traced FROM gated WHERE semantic_pass)
+  UNION ALL
+  SELECT {SAMPLE_ID}, scenario_id, CAST(substr(scenario_id, 19) AS BIGINT), 1, doc_id, mutation, '[auto] ' || task_type || ' task', task_type, {_ONE}, '', ''
+  FROM negs JOIN labels USING (doc_id) WHERE quality = 1""",
+    "tools": "SELECT *, row_number() OVER (ORDER BY world, stage, doc_id, mutation) AS rk FROM ok",
     "n1": f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {NORMALIZED.format(t='text')} ORDER BY rk) AS r1 FROM tools) WHERE r1 = 1",
     "n2": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY task_type, one, used_range ORDER BY rk) AS r2 FROM n1) WHERE r2 = 1",
     "n3": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CASE WHEN tool_list = '' THEN id ELSE scenario_id || '|' || tool_list || '|' || one END ORDER BY rk) AS r3 FROM n2) WHERE r3 = 1",
-    "funnel": f"SELECT count(*) AS candidates, {_STAGE_COUNTS}, (SELECT count(*) FROM n3) AS after_dedup, (SELECT count(*) FROM n3) AS final FROM gated",
+    "funnel": f"SELECT count(*) AS candidates, {_STAGE_COUNTS}, (SELECT count(*) FROM n3) AS after_dedup, (SELECT count(*) FROM n3) AS final FROM gated_all",
 }
 
 

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tracewright.functions import geo
 from tracewright.functions.text import padded
@@ -126,10 +127,12 @@ def traj(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, k = F.col("event_id"), F.col("c_custkey")
     events = table(spark, sf_dir, "events").select("event_id", "ts", F.col("user_id").alias("c_custkey"))
     owner = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return events.join(owner, "c_custkey").select(
+    # Path order is time order.
+    rank = F.row_number().over(Window.partitionBy("c_custkey").orderBy("ts", "event_id"))
+    return events.withColumn("rank", rank.cast("bigint")).join(owner, "c_custkey").select(
         scenario_id(F.col("c_nationkey")).alias("scenario_id"),
         object_id("vehicle", k).alias("object_id"),
-        e.alias("pos"),
+        F.col("rank").alias("pos"),
         F.col("ts").cast("timestamp").alias("ts"),
         lon(k, 7919, (e * 31 % 2001 - 1000) * 10).alias("lon"),
         lat(k, 104729, (e * 53 % 2001 - 1000) * 10).alias("lat"),
@@ -265,14 +268,21 @@ def _step(tool: str, **args: Column | str) -> Column:
 
 
 def faulty_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positive samples with further steps, most of them wrong, added by modulus of the blueprint."""
-    base = samples(spark, sf_dir, with_negatives=False)
+    """All samples; positive ones have further steps, many of them wrong, added by modulus of the blueprint."""
+    base = samples(spark, sf_dir)
     named = documents(spark, sf_dir).select(
-        "scenario_id", F.col("doc_id").alias("_d"), "kind", "target_id", "target_name"
+        "scenario_id", F.col("doc_id").alias("_d"), "family", "kind", "target_id", "target_name"
     )
     joined = base.withColumn("_d", F.col("sample_ord.blueprint")).join(named, ["scenario_id", "_d"])
     d, target, point = F.col("_d"), F.col("target_id"), F.array(F.lit(106.7), F.lit(10.8))
+    positive = F.col("sample_ord.mutation") == 0
     scopes = F.array(*[F.lit(s) for s in ("all", "polylines", "highlights", "popups", "markers")])
+    info = _step("get_object_info", object_id=target)
+    by_name = _step("resolve_entity", reference="$get_object_info.name")
+
+    def popup(content: str) -> Column:
+        return _step("show_popup", target_id="$resolve_entity.entity", content=content)
+
     extra = {
         13: [_step("get_object_info", object_id="vehicle_missing")],
         17: [
@@ -286,17 +296,34 @@ def faulty_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         31: [_step("clear_artifacts", scope=F.element_at(scopes, (d % 5 + 1).cast("int")))],
         37: [_step("draw_marker", coordinates=point, label="m")],
         41: [_step("draw_marker", coordinates=point)],
-        43: [
-            _step("resolve_entity", reference=F.col("target_name")),
-            _step("show_popup", target_id="$resolve_entity.entity", content="hi"),
-        ],
+        43: [_step("resolve_entity", reference=F.col("target_name")), popup("hi")],
         47: [_step("highlight_objects", object_ids=F.array(F.lit("vehicle_missing")))],
         53: [_step("clear_artifacts", scope="everything")],
+        # Chains: what is resolved comes from a result, and so does what that was asked for.
+        59: [info, by_name, popup("via")],
+        61: [info, _step("resolve_entity", reference="$get_object_info.name", expected_type="camera"), popup("no")],
+        67: [
+            info,
+            by_name,
+            _step("get_object_info", object_id="$resolve_entity.entity"),
+            _step("resolve_entity", reference="$get_object_info.id"),
+            popup("deep"),
+        ],
+        71: [_step("get_current_map_state")],
     }
     empty = F.array().cast(schema.TRACE)
-    parts = [F.when(d % m == 0, F.array(*steps)).otherwise(empty) for m, steps in extra.items()]
+    parts = [F.when(positive & (d % m == 0), F.array(*steps)).otherwise(empty) for m, steps in extra.items()]
+    # A list in a selection slot, with an object that is not there.
+    entity = F.struct(target.alias("id"), F.col("kind").alias("type"), F.col("target_name").alias("name"))
+    ghost = F.struct(F.lit("vehicle_missing").alias("id"), F.lit("vehicle").alias("type"), F.lit("none").alias("name"))
+    two = F.struct(F.lit(True).alias("is_list"), F.array(entity, ghost).alias("ents")).cast(schema.SLOT)
+    state = F.col("initial_state")
+    odd = positive & (d % 29 == 1) & F.col("family").isin(5, 6)
+    listed = state.withField("selected", state.selected.withField("object", two))
     return materialize(
-        joined.withColumn("gold_trace", F.concat("gold_trace", *parts)).select(*base.columns)
+        joined.withColumn("gold_trace", F.concat("gold_trace", *parts))
+        .withColumn("initial_state", F.when(odd, listed).otherwise(state))
+        .select(*base.columns)
     )
 
 

@@ -78,7 +78,8 @@ VIEWS = {
   SELECT scenario_id, ord, id, type, name, alias FROM zones UNION ALL
   SELECT scenario_id, ord, id, type, name, alias FROM roads""",
     "traj": f"""
-  SELECT {scenario('c_nationkey')} AS scenario_id, {pad('vehicle_', 'c_custkey', 6)} AS object_id, event_id AS pos, ts,
+  SELECT {scenario('c_nationkey')} AS scenario_id, {pad('vehicle_', 'c_custkey', 6)} AS object_id,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, ts,
          {lon('c_custkey', 7919, '((event_id * 31) % 2001 - 1000) * 10')} AS lon,
          {lat('c_custkey', 104729, '((event_id * 53) % 2001 - 1000) * 10')} AS lat
   FROM events JOIN customer ON user_id = c_custkey""",

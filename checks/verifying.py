@@ -25,12 +25,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-_FLAGS = [13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53]
+# Steps that each modulus adds.
+_FLAGS = {13: 1, 17: 1, 19: 1, 23: 1, 29: 1, 31: 1, 37: 1, 41: 1, 43: 2, 47: 1, 53: 1, 59: 3, 61: 3, 67: 5, 71: 1}
 
 
 def _position(m: int) -> str:
-    """Position of the step a modulus adds: after the trace and the steps of smaller ones."""
-    before = [f"CAST(doc_id % {k} = 0 AS INTEGER){' * 2' if k == 43 else ''}" for k in _FLAGS if k < m]
+    """Position of the first step a modulus adds: after the trace and the steps of smaller ones."""
+    before = [f"CAST(doc_id % {k} = 0 AS INTEGER) * {n}" for k, n in _FLAGS.items() if k < m]
     return " + ".join(["n0", *before])
 
 
@@ -47,7 +48,8 @@ FAULTY = {
   UNION ALL SELECT id, doc_id, {_P[17]}, 'type_mismatch' FROM faulty WHERE doc_id % 17 = 0
   UNION ALL SELECT id, doc_id, {_P[19]}, 'type_mismatch' FROM faulty WHERE doc_id % 19 = 0 AND kind <> 'vehicle'
   UNION ALL SELECT id, doc_id, {_P[19]}, 'invalid_time_range' FROM faulty WHERE doc_id % 19 = 0
-  UNION ALL SELECT id, doc_id, {_P[23]}, 'unknown_tool' FROM faulty WHERE doc_id % 23 = 0""",
+  UNION ALL SELECT id, doc_id, {_P[23]}, 'unknown_tool' FROM faulty WHERE doc_id % 23 = 0
+  UNION ALL SELECT id, doc_id, -1, 'selected_not_found' FROM faulty WHERE doc_id % 29 = 1 AND family IN (5, 6)""",
     "exec_errs": f"""
   SELECT id, doc_id, {_P[13]} AS pos, 'get_object_info' AS tool, 'object_not_found' AS error FROM faulty WHERE doc_id % 13 = 0
   UNION ALL SELECT id, doc_id, {_P[17]}, CASE kind WHEN 'polygon' THEN 'get_line_length' ELSE 'get_polygon_area' END, 'type_mismatch' FROM faulty WHERE doc_id % 17 = 0
@@ -56,7 +58,19 @@ FAULTY = {
   UNION ALL SELECT id, doc_id, {_P[29]}, 'draw_polyline', 'unresolved_reference' FROM faulty WHERE doc_id % 29 = 0
   UNION ALL SELECT id, doc_id, {_P[41]}, 'draw_marker', 'missing_argument' FROM faulty WHERE doc_id % 41 = 0
   UNION ALL SELECT id, doc_id, {_P[47]}, 'highlight_objects', 'bad_highlight' FROM faulty WHERE doc_id % 47 = 0
-  UNION ALL SELECT id, doc_id, {_P[53]}, 'clear_artifacts', 'invalid_scope' FROM faulty WHERE doc_id % 53 = 0""",
+  UNION ALL SELECT id, doc_id, {_P[53]}, 'clear_artifacts', 'invalid_scope' FROM faulty WHERE doc_id % 53 = 0
+  UNION ALL SELECT id, doc_id, {_P[61]} + 2, 'show_popup', 'object_not_found' FROM faulty WHERE doc_id % 61 = 0""",
+    "left_artifacts": f"""
+  SELECT id, n0 - 1 AS pos, 'polyline' AS artifact_type, 'Trajectory of ' || target_id AS label, target_id AS source_object_id
+  FROM faulty WHERE family = 0 AND NOT clarify AND clears NOT IN ('all', 'polylines')
+  UNION ALL
+  SELECT id, {_P[37]}, 'marker', 'm', NULL FROM faulty WHERE doc_id % 37 = 0""",
+    "left_popups": f"""
+  SELECT id, n0 - 1 AS pos, target_id, 'Info for ' || target_id AS content
+  FROM faulty WHERE family = 1 AND NOT clarify AND clears NOT IN ('all', 'popups')
+  UNION ALL SELECT id, {_P[43]} + 1, target_id, 'hi' FROM faulty WHERE doc_id % 43 = 0
+  UNION ALL SELECT id, {_P[59]} + 2, target_id, 'via' FROM faulty WHERE doc_id % 59 = 0
+  UNION ALL SELECT id, {_P[67]} + 4, target_id, 'deep' FROM faulty WHERE doc_id % 67 = 0""",
     # what the searches shown at the end find
     "found": f"""
   SELECT f.id, v.id AS object_id FROM faulty f JOIN zones z ON z.scenario_id = f.scenario_id AND z.id = f.target_id
@@ -68,6 +82,10 @@ FAULTY = {
          JOIN cameras c ON c.scenario_id = f.scenario_id
   WHERE family = 7 AND NOT clarify AND {haversine('v.lon', 'v.lat', 'c.lon', 'c.lat')} <= coalesce(c_radius, 1000)""",
 }
+FAULTY["left_lit"] = """
+  SELECT f.id, r.object_id FROM faulty f JOIN found r ON r.id = f.id WHERE clears NOT IN ('all', 'highlights')
+  UNION ALL
+  SELECT id, target_id FROM faulty WHERE family = 2 AND NOT clarify AND clears NOT IN ('all', 'highlights')"""
 CASCADE = {
     **FAULTY,
     "flags": """
@@ -75,7 +93,7 @@ CASCADE = {
          NOT EXISTS (SELECT 1 FROM static_errs e WHERE e.id = f.id) AS static_ok,
          NOT EXISTS (SELECT 1 FROM exec_errs e WHERE e.id = f.id) AS exec_ok,
          EXISTS (SELECT 1 FROM found r WHERE r.id = f.id) AND clears NOT IN ('all', 'highlights') AS any_found,
-         n0 + CAST(list_sum([CAST(doc_id % m = 0 AS INTEGER) FOR m IN [13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53]]) AS INTEGER) AS n_steps
+         n0 + CAST(list_sum([CAST(doc_id % m = 0 AS INTEGER) FOR m IN [13, 17, 19, 23, 29, 31, 37, 41, 43, 47, 53, 59, 61, 67, 71]]) AS INTEGER) AS n_steps
   FROM faulty f""",
     "gated": """
   SELECT *, static_ok AS static_pass, static_ok AND exec_ok AS exec_pass, static_ok AND exec_ok AND assert_ok AS assert_pass,
@@ -84,14 +102,20 @@ CASCADE = {
           CASE WHEN clarify THEN true
                WHEN n_steps = 0 THEN family NOT IN (0, 1, 2, 3, 7, 8, 9)
                WHEN family = 0 THEN clears NOT IN ('all', 'polylines')
-               WHEN family = 1 THEN clears NOT IN ('all', 'popups') OR doc_id % 43 = 0
+               WHEN family = 1 THEN clears NOT IN ('all', 'popups') OR doc_id % 43 = 0 OR doc_id % 59 = 0 OR doc_id % 67 = 0
                WHEN family = 2 THEN clears NOT IN ('all', 'highlights')
                WHEN family IN (3, 7) THEN any_found
                WHEN family = 8 THEN doc_id % 29 <> 0
                ELSE true END AS assert_ok
         FROM flags f LEFT JOIN (SELECT doc_id AS l_doc, quality FROM labels) l ON l.l_doc = f.doc_id)""",
+    # Negatives ask back, which is all they have to do; their documents' labels are the verdicts.
+    "gated_all": f"""
+  SELECT id, doc_id, schema_pass, static_pass, exec_pass, assert_pass, semantic_pass FROM gated
+  UNION ALL
+  SELECT {SAMPLE_ID}, doc_id, true, true, true, true, coalesce(quality = 1, false)
+  FROM negs LEFT JOIN (SELECT doc_id AS l_doc, quality FROM labels) l ON l.l_doc = negs.doc_id""",
 }
-_VIEWS = "bps vehicles cameras zones"
+_VIEWS = "bps vehicles cameras zones negs"
 
 
 def _verified(spark, sf_dir):
@@ -133,14 +157,20 @@ SELECT id, doc_id, pos, tool, error FROM exec_errs
 UNION ALL
 SELECT id, doc_id, n0 - 1, 'highlight_objects', 'bad_highlight' FROM faulty f WHERE EXISTS (SELECT 1 FROM found r WHERE r.id = f.id)
 UNION ALL
-SELECT id, doc_id, {_P[43]} + 1, 'show_popup', 'object_not_found' FROM faulty WHERE doc_id % 43 = 0""",
+SELECT id, doc_id, {_P[43]} + 1, 'show_popup', 'object_not_found' FROM faulty WHERE doc_id % 43 = 0
+UNION ALL
+SELECT id, doc_id, {_P[59]} + 2, 'show_popup', 'object_not_found' FROM faulty WHERE doc_id % 59 = 0
+UNION ALL
+SELECT id, doc_id, {_P[67]} + 2, 'get_object_info', 'object_not_found' FROM faulty WHERE doc_id % 67 = 0
+UNION ALL
+SELECT id, doc_id, {_P[67]} + 4, 'show_popup', 'object_not_found' FROM faulty WHERE doc_id % 67 = 0""",
     ),
 )
 def execution_check_strict(spark, sf_dir):
     objects = fx.objects(spark, sf_dir)
     prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), objects, strict_refs=True)
     queries = fx.materialize(audit.searches(prepared))
-    results = audit.search_results(queries, fx.scenarios(spark, sf_dir), objects, fx.traj(spark, sf_dir))
+    results = audit.keyed_results(queries, fx.scenarios(spark, sf_dir), objects, fx.traj(spark, sf_dir))
     sized = audit.with_search_sizes(prepared, queries, results)
     checked = sized.withColumn("errors", audit.step_errors(strict_refs=True))
     return _errors(checked, "errors", "pos", "tool", "error")
@@ -153,10 +183,7 @@ def execution_check_strict(spark, sf_dir):
         FAULTY,
         f"""
 SELECT id, pos, 'artifact_' || substr(sha256(id || '|' || pos), 1, 16) AS artifact_id, artifact_type, label, source_object_id
-FROM (SELECT id, n0 - 1 AS pos, 'polyline' AS artifact_type, 'Trajectory of ' || target_id AS label, target_id AS source_object_id, clears
-      FROM faulty WHERE family = 0 AND NOT clarify AND clears NOT IN ('all', 'polylines')
-      UNION ALL
-      SELECT id, {_P[37]}, 'marker', 'm', NULL, clears FROM faulty WHERE doc_id % 37 = 0)
+FROM left_artifacts
 WHERE id NOT IN (SELECT id FROM exec_errs)""",
     ),
 )
@@ -176,10 +203,7 @@ def _final(spark, sf_dir):
         FAULTY,
         f"""
 SELECT id, pos, 'popup_' || substr(sha256(id || '|' || pos), 1, 16) AS popup_id, target_id, content
-FROM (SELECT id, n0 - 1 AS pos, target_id, 'Info for ' || target_id AS content
-      FROM faulty WHERE family = 1 AND NOT clarify AND clears NOT IN ('all', 'popups')
-      UNION ALL
-      SELECT id, {_P[43]} + 1, target_id, 'hi' FROM faulty WHERE doc_id % 43 = 0)
+FROM left_popups
 WHERE id NOT IN (SELECT id FROM exec_errs)""",
     ),
 )
@@ -193,20 +217,111 @@ def final_popups(spark, sf_dir):
         _VIEWS,
         FAULTY,
         """
-SELECT id, object_id FROM (
-  SELECT f.id, r.object_id FROM faulty f JOIN found r ON r.id = f.id WHERE clears NOT IN ('all', 'highlights')
-  UNION ALL
-  SELECT id, target_id FROM faulty WHERE family = 2 AND NOT clarify AND clears NOT IN ('all', 'highlights'))
+SELECT id, object_id FROM left_lit
 WHERE id NOT IN (SELECT id FROM exec_errs)""",
     ),
 )
 def final_highlights(spark, sf_dir):
     stated = _final(spark, sf_dir)
     queries = fx.materialize(audit.searches(stated))
-    results = audit.search_results(
-        queries, fx.scenarios(spark, sf_dir), fx.objects(spark, sf_dir), fx.traj(spark, sf_dir)
+    return audit.highlighted_objects(stated, queries, _results(spark, sf_dir, queries))
+
+
+def _results(spark, sf_dir, queries):
+    return fx.materialize(
+        audit.keyed_results(queries, fx.scenarios(spark, sf_dir), fx.objects(spark, sf_dir), fx.traj(spark, sf_dir))
+    )
+
+
+def _slots(case: str) -> str:
+    return "'" + " || ';".join(f"{slot}=' || {case.format(kind=kind)}" for slot, kind in (("object", "vehicle"), ("line", "line"), ("polygon", "polygon")))
+
+
+_SELECTED = (
+    "CASE WHEN doc_id % 29 = 1 AND family IN (5, 6) THEN replace(" + _slots("CASE WHEN sel AND kind = '{kind}' THEN target_id ELSE '' END")
+    + ", 'object=;', 'object=' || target_id || ',vehicle_missing;') ELSE " + _slots("CASE WHEN sel AND kind = '{kind}' THEN target_id ELSE '' END") + " END"
+)
+_NEG_SELECTED = _slots("CASE WHEN replace(shown_type, 'camera', 'vehicle') = '{kind}' THEN shown ELSE '' END")
+_STATE = {
+    **FAULTY,
+    "drawn": """
+  SELECT id, string_agg('artifact_' || substr(sha256(id || '|' || pos), 1, 16) || ' ' || artifact_type || ' ' || label || ' ' || coalesce(source_object_id, '-'),
+                        ';' ORDER BY pos) AS drawn FROM left_artifacts GROUP BY id""",
+    "popped": """
+  SELECT id, string_agg('popup_' || substr(sha256(id || '|' || pos), 1, 16) || ' ' || target_id || ' ' || content, ';' ORDER BY pos) AS popped
+  FROM left_popups GROUP BY id""",
+    "lit": "SELECT id, string_agg(object_id, ',' ORDER BY object_id) AS lit FROM (SELECT DISTINCT id, object_id FROM left_lit) GROUP BY id",
+    "ends": f"""
+  SELECT id, doc_id, n0, {_P[71]} AS pos71, {_SELECTED} AS selected, coalesce(drawn, '') AS drawn, coalesce(lit, '') AS lit, coalesce(popped, '') AS popped
+  FROM faulty LEFT JOIN drawn USING (id) LEFT JOIN lit USING (id) LEFT JOIN popped USING (id)""",
+}
+_TIME = "'2024-01-30T23:30:00Z' AS time, 'vehicles,cameras,roads,zones' AS layers"
+
+
+def _as_text(states):
+    """The parts of a state as text, to be compared with SQL."""
+    selected = F.concat_ws(
+        ";",
+        *[
+            F.concat(F.lit(f"{s}="), F.coalesce(F.array_join(F.transform(F.col("selected")[s].ents, lambda e: e.id), ","), F.lit("")))
+            for s in ("object", "line", "polygon")
+        ],
+    )
+    fields = lambda x, *names: F.concat_ws(" ", *[F.coalesce(x[n], F.lit("-")) for n in names])
+    drawn = F.transform("drawn_artifacts", lambda a: fields(a, "artifact_id", "artifact_type", "label", "source_object_id"))
+    popped = F.transform("popups", lambda p: fields(p, "popup_id", "target_id", "content"))
+    return states.select(
+        "id",
+        "at",
+        "time",
+        F.array_join("active_layers", ",").alias("layers"),
+        selected.alias("selected"),
+        F.array_join(drawn, ";").alias("drawn"),
+        F.array_join("highlighted_objects", ",").alias("lit"),
+        F.array_join(popped, ";").alias("popped"),
     )
-    return audit.highlighted_objects(stated, queries, results)
+
+
+@query(
+    "final_state",
+    and_views(
+        _VIEWS,
+        _STATE,
+        f"""
+SELECT id, {_TIME}, selected, drawn, lit, popped FROM ends WHERE id NOT IN (SELECT id FROM exec_errs)
+UNION ALL
+SELECT {SAMPLE_ID}, {_TIME}, {_NEG_SELECTED}, '', '', '' FROM negs""",
+    ),
+)
+def final_state(spark, sf_dir):
+    """The whole state that every sample without errors ends in, in one row."""
+    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), fx.objects(spark, sf_dir))
+    timed = fx.materialize(audit.with_timeline(prepared.filter(F.size(audit.step_errors()) == 0)))
+    queries = fx.materialize(audit.searches(timed))
+    states = audit.states(timed, F.array(F.size("steps")), queries, _results(spark, sf_dir, queries))
+    return _as_text(states).drop("at")
+
+
+@query(
+    "map_states",
+    and_views(
+        _VIEWS,
+        _STATE,
+        f"""
+SELECT id, 0 AS at, {_TIME}, selected, '' AS drawn, '' AS lit, '' AS popped FROM ends WHERE n0 > 0
+UNION ALL
+SELECT id, pos71, {_TIME}, selected, drawn, lit, popped FROM ends WHERE doc_id % 71 = 0 AND id NOT IN (SELECT id FROM exec_errs)""",
+    ),
+)
+def map_states(spark, sf_dir):
+    """The whole state at every get_current_map_state step, those in mid-trace for samples without errors."""
+    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), fx.objects(spark, sf_dir))
+    fine = F.size(audit.step_errors()) == 0
+    timed = fx.materialize(audit.with_timeline(prepared.withColumn("fine", fine)))
+    queries = fx.materialize(audit.searches(timed))
+    calls = F.filter("steps", lambda s: (s.tool == "get_current_map_state") & (F.col("fine") | (s.pos == 0)))
+    asked = timed.withColumn("_at", F.transform(calls, lambda s: s.pos))
+    return _as_text(audit.states(asked, F.col("_at"), queries, _results(spark, sf_dir, queries)))
 
 
 @query(
@@ -214,7 +329,7 @@ def final_highlights(spark, sf_dir):
     and_views(
         _VIEWS,
         CASCADE,
-        "SELECT id, doc_id, schema_pass, static_pass, exec_pass, assert_pass, semantic_pass, semantic_pass AS marked_verified FROM gated",
+        "SELECT id, doc_id, schema_pass, static_pass, exec_pass, assert_pass, semantic_pass, semantic_pass AS marked_verified FROM gated_all",
     ),
 )
 def gate_cascade(spark, sf_dir):
@@ -343,17 +458,16 @@ UNION ALL
 SELECT f.scenario_id, 'get_nearby_objects', f.target_id, 'camera', CAST(coalesce(c_radius, 1000) AS DOUBLE), NULL, count(DISTINCT r.object_id)
 FROM faulty f JOIN found r ON r.id = f.id WHERE family = 7 GROUP BY ALL
 UNION ALL
-SELECT f.scenario_id, 'get_objects_crossing_line', f.target_id, 'vehicle', NULL, 'today', count(DISTINCT c.id)
-FROM (SELECT DISTINCT scenario_id, target_id FROM faulty WHERE family = 4 AND NOT clarify AND c_range = 'today') f
-JOIN crossings c ON c.scenario_id = f.scenario_id AND c.line_id = f.target_id GROUP BY ALL""",
+SELECT f.scenario_id, 'get_objects_crossing_line', f.target_id, 'vehicle', NULL, f.time_range, count(DISTINCT c.id)
+FROM (SELECT DISTINCT scenario_id, target_id, coalesce(c_range, 'last_10_minutes') AS time_range FROM faulty WHERE family = 4 AND NOT clarify) f
+JOIN crossings c ON c.scenario_id = f.scenario_id AND c.line_id = f.target_id AND c.time_range = f.time_range GROUP BY ALL""",
     ),
 )
 def search_results(spark, sf_dir):
     """Result sizes of every distinct search in the traces, whether or not it is highlighted."""
     asked = audit.all_searches(audit.prepare(fx.faulty_samples(spark, sf_dir), fx.objects(spark, sf_dir)))
-    today = asked.filter(F.coalesce("time_range", F.lit("today")) == "today")
     found = audit.search_results(
-        fx.materialize(today), fx.scenarios(spark, sf_dir), fx.objects(spark, sf_dir), fx.traj(spark, sf_dir)
+        fx.materialize(asked), fx.scenarios(spark, sf_dir), fx.objects(spark, sf_dir), fx.traj(spark, sf_dir)
     )
     return found.groupBy(*audit.QUERY).agg(F.countDistinct("result_id").alias("n"))
 
@@ -379,12 +493,20 @@ UNION ALL SELECT id, 1, 'get_selected_entity', CASE WHEN sel THEN target_id END,
 UNION ALL SELECT id, n0 - 2, 'get_object_info', target_id, NULL FROM faulty WHERE n0 > 0 AND family = 1
 UNION ALL SELECT f.id, n0 - 1, 'get_polygon_area', target_id, v FROM faulty f JOIN areas a ON a.scenario_id = f.scenario_id AND a.id = f.target_id WHERE n0 > 0 AND family = 5
 UNION ALL SELECT f.id, n0 - 1, 'get_line_length', target_id, v FROM faulty f JOIN lengths a ON a.scenario_id = f.scenario_id AND a.id = f.target_id WHERE n0 > 0 AND family = 6
-UNION ALL SELECT id, {_P[43]}, 'resolve_entity', target_id, 1 FROM faulty WHERE doc_id % 43 = 0""",
+UNION ALL SELECT id, {_P[43]}, 'resolve_entity', target_id, 1 FROM faulty WHERE doc_id % 43 = 0
+UNION ALL SELECT id, {_P[59]} + i, tool, target_id, n FROM faulty, (VALUES (0, 'get_object_info', NULL), (1, 'resolve_entity', 1)) s(i, tool, n) WHERE doc_id % 59 = 0
+UNION ALL SELECT id, {_P[61]} + i, tool, CASE i WHEN 0 THEN target_id END, n FROM faulty, (VALUES (0, 'get_object_info', NULL), (1, 'resolve_entity', 0)) s(i, tool, n)
+WHERE doc_id % 61 = 0
+UNION ALL SELECT id, {_P[67]} + i, tool, target_id, n
+FROM faulty, (VALUES (0, 'get_object_info', NULL), (1, 'resolve_entity', 1), (2, 'get_object_info', NULL), (3, 'resolve_entity', 1)) s(i, tool, n) WHERE doc_id % 67 = 0
+UNION ALL SELECT id, {_P[71]}, 'get_current_map_state', CASE WHEN sel THEN target_id END, NULL FROM faulty WHERE doc_id % 71 = 0""",
     ),
 )
 def read_tool_results(spark, sf_dir):
     objects = fx.objects(spark, sf_dir)
-    found = tool_results.read_results(audit.prepare(fx.faulty_samples(spark, sf_dir), objects), objects)
+    prepared = fx.materialize(audit.prepare(fx.faulty_samples(spark, sf_dir), objects))
+    queries = fx.materialize(audit.searches(prepared))
+    found = tool_results.read_results(prepared, objects, queries, _results(spark, sf_dir, queries))
     get = lambda path, kind: F.try_variant_get("result", path, kind)
     ids = ["$.entity.id", "$.id", "$.polygon_id", "$.line_id", "$.selected.object.id", "$.selected.line.id", "$.selected.polygon.id"]
     return found.select(

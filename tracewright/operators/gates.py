@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variants import string_value
-from ..plans.catalog import ID_ARGUMENTS, TIME_RANGES, TOOLS
+from ..plans.catalog import ID_ARGUMENTS, RULES, Rules
 from ..plans.vocabulary import ASSERTION_TYPES, DIFFICULTIES, SLOTS
 from ..session import materialize
 from . import trace_audit as audit
@@ -53,7 +53,7 @@ def _asks_back() -> Column:
     return F.coalesce("expected.should_ask_clarification", F.lit(False))
 
 
-def static_errors() -> Column:
+def static_errors(rules: Rules = RULES) -> Column:
     """Gate 2, ARRAY<STRUCT<pos, error>> on a row of `trace_audit.prepare`; pos -1 is the selection.
 
     Names and ids only: nothing is looked up but whether an id exists and what type it has.
@@ -80,7 +80,7 @@ def static_errors() -> Column:
 
     def wrong_type(s: Column) -> Column:
         failed = F.lit(False)
-        for name, tool in TOOLS.items():
+        for name, tool in rules.tools.items():
             if tool.required_type:
                 kind = types[string_value(s.args[tool.id_param])]
                 failed = failed | ((s.tool == name) & F.coalesce(kind != tool.required_type, F.lit(False)))
@@ -88,12 +88,12 @@ def static_errors() -> Column:
 
     def bad_range(s: Column) -> Column:
         value = F.try_variant_get(s.args["time_range"], "$", "string")
-        return at(s, "invalid_time_range", (value != "") & ~value.isin(TIME_RANGES))
+        return at(s, "invalid_time_range", (value != "") & ~value.isin(rules.time_ranges))
 
     def of_step(s: Column) -> Column:
         return F.array_compact(
             F.array(
-                at(s, "unknown_tool", ~s.tool.isin(list(TOOLS))),
+                at(s, "unknown_tool", ~s.tool.isin(list(rules.tools))),
                 *[unknown_argument(s, name) for name in ID_ARGUMENTS],
                 wrong_type(s),
                 bad_range(s),
@@ -103,8 +103,8 @@ def static_errors() -> Column:
     return F.concat(strangers, F.flatten(F.transform(steps, of_step)))
 
 
-def with_asserted_hits(stated: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
-    """Add `hits`: asserted ids that a search shown at the end did find."""
+def asserted_hits(timed: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
+    """(id, result_id): asserted ids that a search highlighted at the end did find; only these are looked up."""
     asserted = F.flatten(
         F.transform(
             "expected.final_state_assertions",
@@ -112,16 +112,39 @@ def with_asserted_hits(stated: DataFrame, queries: DataFrame, results: DataFrame
         )
     )
     probes = (
-        stated.select("id", F.explode("highlights").alias("h"), asserted.alias("_ids"))
+        timed.select("id", F.explode(audit.alive("lit")).alias("h"), asserted.alias("_ids"))
         .filter(F.col("h.search").isNotNull())
         .select("id", F.col("h.pos").alias("pos"), F.explode(F.array_distinct("_ids")).alias("result_id"))
         .filter(F.col("result_id").isNotNull())
     )
-    keyed = probes.join(queries, ["id", "pos"])
-    same = [keyed[c].eqNullSafe(results[c]) for c in audit.QUERY] + [keyed["result_id"] == results["result_id"]]
-    hits = keyed.join(results, same, "left_semi").groupBy("id").agg(F.collect_set("result_id").alias("hits"))
-    joined = stated.join(hits, "id", "left")
-    return joined.withColumn("hits", F.coalesce("hits", F.array().cast("array<string>")))
+    keyed = probes.join(queries.select("id", "pos", "key"), ["id", "pos"])
+    return keyed.join(results, ["key", "result_id"], "left_semi").select("id", "result_id")
+
+
+def with_facts(timed: DataFrame, objects: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
+    """Add `types`, `found` and `hits`: all that the gates know from other tables, grouped by sample once."""
+    types = audit.types_of(timed, objects)
+    sizes = audit.search_sizes(queries, results)
+    hits = asserted_hits(timed, queries, results)
+    shape = {"object_id": "string", "type": "string", "pos": "int", "n": "bigint", "hit": "string"}
+
+    def facts(df: DataFrame, **columns: str) -> DataFrame:
+        return df.select("id", *[(F.col(columns[c]) if c in columns else F.lit(None)).cast(t).alias(c) for c, t in shape.items()])
+
+    every = (
+        facts(types, object_id="object_id", type="type")
+        .unionByName(facts(sizes, pos="pos", n="n"))
+        .unionByName(facts(hits, hit="result_id"))
+    )
+    by_sample = every.groupBy("id").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("object_id").isNotNull(), F.struct("object_id", "type")))).alias("types"),
+        F.map_from_entries(F.collect_list(F.when(F.col("n").isNotNull(), F.struct("pos", "n")))).alias("found"),
+        F.collect_set("hit").alias("hits"),
+    )
+    joined = timed.join(by_sample, "id", "left")
+    none = {"types": F.create_map().cast("map<string,string>"), "found": F.create_map().cast("map<int,bigint>")}
+    none["hits"] = F.array().cast("array<string>")
+    return joined.withColumns({c: F.coalesce(c, empty) for c, empty in none.items()})
 
 
 def failed_assertions() -> Column:
@@ -173,52 +196,58 @@ def verify(
     traj: DataFrame,
     verdicts: DataFrame | None = None,
     strict_refs: bool = False,
+    rules: Rules = RULES,
 ) -> DataFrame:
     """All samples with `*_errors` per gate and cumulative `*_pass` flags.
 
     A sample without its scenario passes nothing. `verdicts(id, valid)` are a model's answers
     (ingest.verdicts); without them the last gate is skipped. Searches are run for samples that
-    passed the cheap gates only. Samples are read several times, so hand in a written table;
-    the searches and their results, which are read several times too, are written here.
+    passed the schema gate, each distinct one once.
+
+    The gates work on a narrow table, written once: steps, references followed, and what is on the map when. Types,
+    search sizes and hits join it after one grouping by sample; the samples themselves, which have unique ids,
+    are joined with the flags at the end. Samples are read twice, so hand in a written table.
     """
     worlds = scenarios.select("scenario_id", F.lit(True).alias("_in_world"))
-    placed = samples.join(worlds, "scenario_id", "left").withColumn("schema_errors", schema_errors())
+    narrow = samples.select("id", "scenario_id", "gold_trace", "initial_state", "expected", schema_errors().alias("schema_errors"))
     first = F.coalesce("_in_world", F.lit(False)) & (F.size("schema_errors") == 0)
-    prepared = audit.prepare(placed.withColumn("schema_pass", first), objects, strict_refs)
-    checked = prepared.withColumn("static_errors", static_errors()).withColumn(
-        "static_pass", F.col("schema_pass") & (F.size("static_errors") == 0)
+    placed = narrow.join(worlds, "scenario_id", "left").withColumn("schema_pass", first).drop("_in_world")
+    followed = audit.followed(placed, objects, strict_refs, rules)
+    timed = materialize(audit.with_timeline(followed, rules).drop("gold_trace"))
+    queries = materialize(audit.searches(timed.filter("schema_pass")))
+    results = materialize(audit.keyed_results(queries, scenarios, objects, traj))
+    known = with_facts(timed, objects, queries, results).withColumns(
+        {"artifacts": audit.alive("drawn"), "popups": audit.alive("popped"), "highlights": audit.alive("lit")}
     )
-    queries = materialize(audit.searches(checked.filter("static_pass")))
-    results = materialize(audit.search_results(queries, scenarios, objects, traj))
-    sized = audit.with_search_sizes(checked, queries, results)
-    executed = sized.withColumn("exec_errors", audit.step_errors(strict_refs)).withColumn(
-        "exec_pass", F.col("static_pass") & (F.size("exec_errors") == 0)
-    )
-    stated = with_asserted_hits(audit.with_final_state(executed), queries, results)
-    no_state = F.size("gold_trace") == 0
-    assertions_hold = (
+    judged = known.select(
+        "id",
+        "schema_errors",
+        static_errors(rules).alias("static_errors"),
+        audit.step_errors(strict_refs, rules).alias("exec_errors"),
+        failed_assertions().alias("assert_errors"),
+        "schema_pass",
         F.when(_asks_back(), True)
-        .when(no_state, F.size("expected.final_state_assertions") == 0)
-        .otherwise(F.size("assert_errors") == 0)
-    )
-    asserted = stated.withColumn("assert_errors", failed_assertions()).withColumn(
-        "assert_pass", F.col("exec_pass") & assertions_hold
+        .when(F.size("steps") == 0, F.size("expected.final_state_assertions") == 0)
+        .alias("_excused"),
     )
     if verdicts is None:
-        judged = asserted.withColumn("semantic_pass", F.col("assert_pass"))
+        judged = judged.withColumn("_valid", F.lit(True))
     else:
-        said = verdicts.select("id", F.col("valid").alias("_valid"))
-        judged = asserted.join(said, "id", "left").withColumn(
-            "semantic_pass", F.col("assert_pass") & F.coalesce("_valid", F.lit(False))
-        )
-    marked = judged.withColumn(
+        judged = judged.join(verdicts.select("id", F.coalesce("valid", F.lit(False)).alias("_valid")), "id", "left")
+    flags = (
+        judged.withColumn("static_pass", F.col("schema_pass") & (F.size("static_errors") == 0))
+        .withColumn("exec_pass", F.col("static_pass") & (F.size("exec_errors") == 0))
+        .withColumn("assert_pass", F.col("exec_pass") & F.coalesce("_excused", F.size("assert_errors") == 0))
+        .withColumn("semantic_pass", F.col("assert_pass") & F.coalesce("_valid", F.lit(False)))
+    )
+    errors = ["schema_errors", "static_errors", "exec_errors", "assert_errors"]
+    marked = samples.join(flags.select("id", *errors, *GATES), "id").withColumn(
         "generation_metadata",
         F.col("generation_metadata")
         .withField("verified_by_schema", F.col("semantic_pass"))
         .withField("verified_by_execution", F.col("semantic_pass"))
         .withField("verified_by_llm", F.col("semantic_pass") & F.lit(verdicts is not None)),
     )
-    errors = ["schema_errors", "static_errors", "exec_errors", "assert_errors"]
     return marked.select(*samples.columns, *errors, *GATES)
 
 

@@ -16,20 +16,21 @@ from ..functions import geo
 from ..functions.variants import string_value
 from ..plans.vocabulary import SLOTS
 from . import spatial
-from .lookup import resolve_reference
+from .lookup import by_id
 from .requests import geojson
-from .trace_audit import with_final_state
+from .trace_audit import states, with_timeline
 
 
 def _calls(prepared: DataFrame, *tools: str) -> DataFrame:
     """(id, scenario_id, pos, tool, args, object_id) of the steps that call one of the tools."""
     wanted = F.filter("steps", lambda s: s.tool.isin(*tools))
     return prepared.select(
-        "id", "scenario_id", "step_ids", "initial_state", F.explode(wanted).alias("s")
+        "id", "scenario_id", "step_ids", "known", "initial_state", F.explode(wanted).alias("s")
     ).select(
         "id",
         "scenario_id",
         "initial_state",
+        "known",
         F.col("s.pos").alias("pos"),
         F.col("s.tool").alias("tool"),
         F.col("s.args").alias("args"),
@@ -63,26 +64,19 @@ def selected_entities(prepared: DataFrame) -> DataFrame:
     )
 
 
-def resolved(prepared: DataFrame, objects: DataFrame) -> DataFrame:
-    """resolve_entity: the entity and the confidence."""
-    asked = _calls(prepared, "resolve_entity").select(
-        F.struct("id", "pos", "tool").alias("query_id"),
-        "scenario_id",
-        string_value(F.col("args")["reference"]).alias("reference"),
-        string_value(F.col("args")["expected_type"]).alias("expected_type"),
-    )
-    found = resolve_reference(asked.filter(F.col("reference").isNotNull()), objects)
-    entity = F.when(
-        F.col("entity_id").isNotNull(),
-        F.struct(F.col("entity_id").alias("id"), F.col("entity_type").alias("type"), F.col("entity_name").alias("name")),
-    )
-    return _result(found.select("query_id.*", "*"), F.to_variant_object(F.struct(entity.alias("entity"), "confidence")))
+def resolved(prepared: DataFrame) -> DataFrame:
+    """resolve_entity: the entity and the confidence, from what was looked up when references were followed."""
+    found = F.col("known")[F.col("pos")]
+    entity = F.when(found.isNotNull(), F.struct(found.id.alias("id"), found.type.alias("type"), found["name"].alias("name")))
+    confidence = F.when(found.isNotNull(), 1.0).otherwise(0.0)
+    asked = _calls(prepared, "resolve_entity").filter(string_value(F.col("args")["reference"]).isNotNull())
+    return _result(asked, F.to_variant_object(F.struct(entity.alias("entity"), confidence.alias("confidence"))))
 
 
 def object_reads(prepared: DataFrame, objects: DataFrame) -> DataFrame:
     """get_object_info, get_polygon_area and get_line_length: one lookup for all three."""
     calls = _calls(prepared, "get_object_info", "get_polygon_area", "get_line_length")
-    table = objects.select(
+    table = by_id(objects).select(
         "scenario_id", F.col("id").alias("object_id"), F.col("type").alias("_type"), F.col("name").alias("_name"), "geom", "props"
     )
     found = calls.join(table, ["scenario_id", "object_id"])
@@ -107,34 +101,22 @@ def object_reads(prepared: DataFrame, objects: DataFrame) -> DataFrame:
     return _result(found, value).filter(F.col("result").isNotNull())
 
 
-def map_states(prepared: DataFrame) -> DataFrame:
-    """get_current_map_state: what is visible at that step.
+def map_states(prepared: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
+    """get_current_map_state: what is visible at that step, highlights of searches included.
 
-    Highlights are the ids named in literal lists; those of searches are in long form.
+    `queries` and `results` come from trace_audit.searches and keyed_results.
     """
-    asking = F.filter("steps", lambda s: s.tool == "get_current_map_state")
-    upto = (
-        prepared.withColumn("s", F.explode(asking))
-        .withColumn("steps", F.slice("steps", F.lit(1), F.col("s.pos")))
-        .withColumn("shown", F.filter("shown", lambda h: h.pos < F.col("s.pos")))
-    )
-    stated = with_final_state(upto)
-    strings = F.array().cast("array<string>")
-    lit = F.flatten(F.transform("highlights", lambda h: F.coalesce(h.ids, strings)))
-    state = F.struct(
-        F.col("initial_state.time").alias("time"),
-        F.struct(*[_slot_value(F.col("initial_state.selected")[s]).alias(s) for s in SLOTS]).alias("selected"),
-        F.col("initial_state.active_layers").alias("active_layers"),
-        F.transform("artifacts", lambda a: a.dropFields("pos")).alias("drawn_artifacts"),
-        F.array_sort(F.array_distinct(lit)).alias("highlighted_objects"),
-        F.transform("popups", lambda p: p.dropFields("pos")).alias("popups"),
-    )
-    return stated.select("id", F.col("s.pos").alias("pos"), F.col("s.tool").alias("tool"), F.to_variant_object(state).alias("result"))
+    calls = F.filter("steps", lambda s: s.tool == "get_current_map_state")
+    asked = states(with_timeline(prepared), F.transform(calls, lambda s: s.pos), queries, results)
+    selected = F.struct(*[_slot_value(F.col("selected")[s]).alias(s) for s in SLOTS]).alias("selected")
+    parts = ["time", selected, "active_layers", "drawn_artifacts", "highlighted_objects", "popups"]
+    value = F.to_variant_object(F.struct(*parts)).alias("result")
+    return asked.select("id", F.col("at").alias("pos"), F.lit("get_current_map_state").alias("tool"), value)
 
 
-def read_results(prepared: DataFrame, objects: DataFrame) -> DataFrame:
-    """(id, pos, tool, result) of every read whose result has a bounded size."""
-    parts = [map_states(prepared), selected_entities(prepared), resolved(prepared, objects), object_reads(prepared, objects)]
+def read_results(prepared: DataFrame, objects: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
+    """(id, pos, tool, result) of every read but searches and trajectories."""
+    parts = [map_states(prepared, queries, results), selected_entities(prepared), resolved(prepared), object_reads(prepared, objects)]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variants import string_value
-from ..plans.catalog import ID_ARGUMENTS, SEARCH_TOOLS, TOOLS
+from ..plans.catalog import ID_ARGUMENTS, RULES, SEARCH_TOOLS, Rules
 from ..plans.vocabulary import CLEAR_SCOPES, SLOTS
+from ..session import materialize
 from . import spatial
-from .lookup import resolve_reference, types_by_id
+from .lookup import by_id, resolve_reference, types_by_id
 
 # Fixed value: the form of a reference to an earlier result, as a whole string argument.
 REFERENCE = r"(?U)^\$(\w+)\.(\w+)$"
@@ -36,11 +37,7 @@ def _strings(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-ID_PARAM = {name: t.id_param for name, t in TOOLS.items() if t.id_param}
-ECHO = {name: t.echo for name, t in TOOLS.items() if t.echo}
-REQUIRED_TYPE = {name: t.required_type for name, t in TOOLS.items() if t.required_type}
-REQUIRED = {name: [p.name for p in t.params if p.required] for name, t in TOOLS.items()}
-RETURNS = {name: t.returns for name, t in TOOLS.items()}
+KNOWN = "map<int,struct<id:string,name:string,type:string>>"
 
 
 def _reference(value: Column, part: int) -> Column:
@@ -69,11 +66,13 @@ def _slot_of(selected: Column, name: Column) -> Column:
     return F.coalesce(*[F.when(name == s, _slot_ids(selected, s)) for s in SLOTS])
 
 
-def with_steps(traces: DataFrame) -> DataFrame:
+def with_steps(traces: DataFrame, rules: Rules = RULES) -> DataFrame:
     """Add `steps`: position, tool, arguments as a map, and where references point.
 
-    `traces` has gold_trace; a step without arguments counts as one with none.
+    `traces` has gold_trace; a step without arguments counts as one with none. `own` is the argument
+    that names what the step works on, as text.
     """
+    own_param = _by_tool({**rules.id_param, "resolve_entity": "reference"}, "string")
     no_args = F.create_map().cast("map<string,variant>")
     tools = F.transform("gold_trace", lambda s: F.coalesce(s.tool, F.lit("")))
     based = traces.withColumn("_tools", tools)
@@ -98,7 +97,7 @@ def with_steps(traces: DataFrame) -> DataFrame:
         )
 
     def own(s: Column) -> Column:
-        return s.args[_by_tool(ID_PARAM, "string")[s.tool]]
+        return s.args[own_param[s.tool]]
 
     def refined(s: Column) -> Column:
         raw = string_value(own(s))
@@ -114,63 +113,145 @@ def with_steps(traces: DataFrame) -> DataFrame:
     return based.withColumn("steps", F.transform("_read", refined)).drop("_read", "_tools")
 
 
-def _echoed(step_ids: Column, at: Column, tools: Column, ref: Column, selected: Column) -> Column:
+def _echoed(step_ids: Column, at: Column, ref: Column, selected: Column, rules: Rules) -> Column:
     """Id a reference stands for: the object an earlier step worked on, or the one selected."""
     tool, field = _reference(ref, 1), _reference(ref, 2)
-    echo = _by_tool(ECHO, "string")[tool]
     slot = _slot_of(selected, field)
-    return F.when(field == echo, F.get(step_ids, at)).when(
+    return F.when(field == _by_tool(rules.echo, "string")[tool], F.get(step_ids, at)).when(
         (tool == "get_selected_entity") & (F.size(slot) == 1), F.get(slot, F.lit(0))
     )
 
 
-def with_step_ids(stepped: DataFrame, resolved: DataFrame | None = None, strict_refs: bool = False) -> DataFrame:
-    """Add `step_ids`, the object id each step works on, references followed.
-
-    `resolved(id, entities)` maps the position of a resolve_entity step to the entity it found.
-    With `strict_refs` an entity does not stand for its id.
-    """
-    if resolved is None:
-        stepped = stepped.withColumn("entities", F.create_map().cast("map<int,string>"))
-    else:
-        stepped = stepped.join(resolved, "id", "left")
+def _ids_of_steps(strict_refs: bool, rules: Rules) -> Column:
+    """Per step the object id it works on or finds, given `known`; with `strict_refs` an entity does not stand for its id."""
     selected = F.col("initial_state.selected")
 
     def one(acc: Column, s: Column) -> Column:
         chosen = _slot_of(selected, string_value(s.args["entity_type"]))
         entity = (
             F.when(s.tool == "get_selected_entity", F.when(F.size(chosen) == 1, F.get(chosen, F.lit(0))))
-            .when(s.tool == "resolve_entity", F.col("entities")[s.pos])
+            .when(s.tool == "resolve_entity", F.col("known")[s.pos].id)
             .otherwise(
-                F.when(_reference(s.own, 1).isNull(), s.own).otherwise(
-                    _echoed(acc, s.own_at, F.col("steps.tool"), s.own, selected)
-                )
+                F.when(_reference(s.own, 1).isNull(), s.own).otherwise(_echoed(acc, s.own_at, s.own, selected, rules))
             )
         )
         if strict_refs:
             entity = F.when(~s.tool.isin("get_selected_entity", "resolve_entity"), entity)
         return F.concat(acc, F.array(entity))
 
-    ids = F.aggregate("steps", F.array().cast("array<string>"), one)
-    return stepped.withColumn("step_ids", ids).drop("entities")
+    return F.aggregate("steps", F.array().cast("array<string>"), one)
 
 
-def resolved_entities(stepped: DataFrame, objects: DataFrame) -> DataFrame:
-    """(id, entities): what each resolve_entity step with a literal reference finds."""
-    asked = (
-        stepped.select("id", "scenario_id", F.explode("steps").alias("s"))
-        .filter(F.col("s.tool") == "resolve_entity")
-        .select(
-            F.struct("id", F.col("s.pos").alias("pos")).alias("query_id"),
-            "scenario_id",
-            string_value(F.col("s.args")["reference"]).alias("reference"),
-            string_value(F.col("s.args")["expected_type"]).alias("expected_type"),
+def with_step_ids(
+    stepped: DataFrame, known: DataFrame | None = None, strict_refs: bool = False, rules: Rules = RULES
+) -> DataFrame:
+    """Add `step_ids`, the object id each step works on, references followed, and `known`.
+
+    `known(id, known)` says what lookups within a trace have found (see known_entities).
+    """
+    if known is None:
+        stepped = stepped.withColumn("known", F.create_map().cast(KNOWN))
+    else:
+        stepped = stepped.join(known, "id", "left")
+    return stepped.withColumn("step_ids", _ids_of_steps(strict_refs, rules))
+
+
+def _made(pos: Column, prefix: str) -> Column:
+    """Id of what a step puts on the map."""
+    digest = F.sha2(F.concat_ws("|", F.col("id"), pos.cast("string")), 256)
+    return F.concat(F.lit(prefix), F.substring(digest, 1, 16))
+
+
+def _asks_fields(tool: Column, field: Column) -> Column:
+    """Whether a reference is to a field that only the object table has."""
+    return (tool == "get_object_info") & field.isin("name", "type")
+
+
+def _levels() -> Column:
+    """Per step the number of lookups that must be done before it is known what it works on."""
+
+    def one(acc: Column, s: Column) -> Column:
+        tool, field = _reference(s.own, 1), _reference(s.own, 2)
+        looked_up = (tool == "resolve_entity") | _asks_fields(tool, field)
+        below = F.get(acc, s.own_at) + F.coalesce(looked_up, F.lit(False)).cast("int")
+        return F.concat(acc, F.array(F.coalesce(below, F.lit(0))))
+
+    return F.aggregate("steps", F.array().cast("array<int>"), one)
+
+
+def _text_of(s: Column, strict_refs: bool, rules: Rules) -> Column:
+    """Text that a resolve_entity step goes by, its reference followed; null where that is not known or no text."""
+    tool, field = _reference(s.own, 1), _reference(s.own, 2)
+    source, found = F.get(F.col("steps"), s.own_at), F.col("known")[s.own_at]
+    echoed = _echoed(F.col("step_ids"), s.own_at, s.own, F.col("initial_state.selected"), rules)
+    if strict_refs:
+        echoed = F.when(~tool.isin("get_selected_entity", "resolve_entity"), echoed)
+    return F.when(tool.isNull(), s.own).otherwise(
+        F.coalesce(
+            echoed,
+            F.when(_asks_fields(tool, field), F.when(field == "name", found["name"]).otherwise(found["type"])),
+            F.when(field == "time_range", string_value(source.args["time_range"])),
+            F.when(field == "cleared", string_value(source.args["scope"])),
+            F.when(field == "artifact_id", _made(s.own_at, "artifact_")),
+            F.when(field == "popup_id", _made(s.own_at, "popup_")),
+            F.when(field == "time", F.col("initial_state.time").cast("string")),
         )
     )
-    found = resolve_reference(asked, objects).filter(F.col("entity_id").isNotNull())
-    return found.groupBy(F.col("query_id.id").alias("id")).agg(
-        F.map_from_entries(F.collect_list(F.struct("query_id.pos", "entity_id"))).alias("entities")
+
+
+def known_entities(stepped: DataFrame, objects: DataFrame, strict_refs: bool = False, rules: Rules = RULES) -> DataFrame:
+    """(id, known): what each resolve_entity step finds, and the objects by whose name or type one is asked.
+
+    A reference can come from an earlier result, that one from another, and so on. Lookups are done level by
+    level for all traces together, as many levels as the deepest chain has; only traces that
+    resolve something take part, with their steps and state alone.
+    """
+    resolves = lambda s: s.tool == "resolve_entity"
+    chains = materialize(
+        stepped.filter(F.exists("steps", resolves))
+        .select("id", "scenario_id", "steps", "initial_state", _levels().alias("levels"))
+        .withColumn("known", F.create_map().cast(KNOWN))
     )
+    level_of = lambda s: F.get("levels", s.pos)
+    deepest = chains.agg(F.max(F.array_max(F.transform(F.filter("steps", resolves), level_of)))).first()[0]
+    table = by_id(objects)
+    for level in range(-1 if deepest is None else deepest + 1):
+        asks_name = lambda s: F.exists(
+            "steps",
+            lambda r: resolves(r) & (r.own_at == s.pos) & _asks_fields(_reference(r.own, 1), _reference(r.own, 2)),
+        )
+        due = F.filter("steps", lambda s: (level_of(s) == level) & (resolves(s) | asks_name(s)))
+        asked = chains.withColumn("step_ids", _ids_of_steps(strict_refs, rules)).select(
+            "id",
+            "scenario_id",
+            F.explode(
+                F.transform(
+                    due,
+                    lambda s: F.struct(
+                        s.pos.alias("pos"),
+                        resolves(s).alias("by_text"),
+                        F.when(resolves(s), _text_of(s, strict_refs, rules)).otherwise(F.get("step_ids", s.pos)).alias("ask"),
+                        string_value(s.args["expected_type"]).alias("expected_type"),
+                    ),
+                )
+            ).alias("s"),
+        ).filter(F.col("s.ask").isNotNull())
+        texts = asked.filter("s.by_text").select(
+            F.struct("id", "s.pos").alias("query_id"), "scenario_id", F.col("s.ask").alias("reference"), "s.expected_type"
+        )
+        entity = F.struct(F.col("entity_id").alias("id"), F.col("entity_name").alias("name"), F.col("entity_type").alias("type"))
+        by_text = resolve_reference(texts, objects).filter(F.col("entity_id").isNotNull()).select("query_id.*", entity.alias("found"))
+        ids = asked.filter("not s.by_text").select("id", "s.pos", "scenario_id", F.col("s.ask").alias("object_id"))
+        named = table.select("scenario_id", F.col("id").alias("object_id"), F.struct("id", "name", "type").alias("found"))
+        by_own = ids.join(named, ["scenario_id", "object_id"]).select("id", "pos", "found")
+        found = by_text.unionByName(by_own).groupBy("id").agg(
+            F.map_from_entries(F.collect_list(F.struct("pos", "found"))).cast(KNOWN).alias("_new")
+        )
+        more = F.coalesce("_new", F.create_map().cast(KNOWN))
+        chains = chains.join(found, "id", "left").withColumn("known", F.map_concat("known", more)).drop("_new")
+        if level < deepest:
+            chains = materialize(chains)
+    return chains.select("id", "known")
 
 
 def _literal_ids(value: Column, strict_refs: bool) -> Column:
@@ -180,7 +261,7 @@ def _literal_ids(value: Column, strict_refs: bool) -> Column:
     return F.transform(items, string_value if strict_refs else coerced)
 
 
-def with_highlights(stepped: DataFrame, strict_refs: bool = False) -> DataFrame:
+def with_highlights(stepped: DataFrame, strict_refs: bool = False, rules: Rules = RULES) -> DataFrame:
     """Add `shown`: per highlight step its ids, or the search step whose results it takes.
 
     `bad` marks a highlight whose argument can never be a list of ids.
@@ -193,7 +274,7 @@ def with_highlights(stepped: DataFrame, strict_refs: bool = False) -> DataFrame:
         tool, field = _reference(text, 1), _reference(text, 2)
         at = F.get(F.filter(s.refs, lambda r: (r.tool == tool) & (r.field == field)), F.lit(0)).at
         source = F.get(F.col("steps"), at)
-        search = F.when(tool.isin(SEARCH_TOOLS) & (field == "results"), at)
+        search = F.when(tool.isin(rules.searches) & (field == "results"), at)
         ids = _literal_ids(value, strict_refs)
         if not strict_refs:
             slot = F.when(
@@ -229,47 +310,61 @@ def wanted_ids(stepped: DataFrame) -> Column:
     )
 
 
-def with_types(stepped: DataFrame, objects: DataFrame) -> DataFrame:
-    """Add `types`, a map from each id the sample refers to to its type; unknown ids are absent."""
+def types_of(stepped: DataFrame, objects: DataFrame) -> DataFrame:
+    """(id, object_id, type) of the objects that each sample refers to; unknown ids are absent."""
     asked = stepped.select("id", "scenario_id", F.explode(wanted_ids(stepped)).alias("object_id"))
     table = types_by_id(objects).withColumnRenamed("id", "object_id")
-    found = (
-        asked.join(table, ["scenario_id", "object_id"])
-        .groupBy("id")
-        .agg(F.map_from_entries(F.collect_list(F.struct("object_id", "type"))).alias("types"))
+    return asked.join(table, ["scenario_id", "object_id"]).select("id", "object_id", "type")
+
+
+def with_types(stepped: DataFrame, objects: DataFrame) -> DataFrame:
+    """Add `types`, a map from each id the sample refers to to its type; unknown ids are absent."""
+    found = types_of(stepped, objects).groupBy("id").agg(
+        F.map_from_entries(F.collect_list(F.struct("object_id", "type"))).alias("types")
     )
     known = stepped.join(found, "id", "left")
     return known.withColumn("types", F.coalesce("types", F.create_map().cast("map<string,string>")))
 
 
-def prepare(samples: DataFrame, objects: DataFrame, strict_refs: bool = False) -> DataFrame:
+def prepare(samples: DataFrame, objects: DataFrame, strict_refs: bool = False, rules: Rules = RULES) -> DataFrame:
     """Samples with `steps`, `step_ids`, `shown` and `types`, which everything below works on."""
-    stepped = with_steps(samples)
-    asks = stepped.filter(F.exists("steps", lambda s: s.tool == "resolve_entity"))
-    resolved = None if asks.select("id").isEmpty() else resolved_entities(asks, objects)
-    with_ids = with_step_ids(stepped, resolved, strict_refs)
-    return with_types(with_highlights(with_ids, strict_refs), objects)
+    return with_types(followed(samples, objects, strict_refs, rules), objects)
+
+
+def followed(samples: DataFrame, objects: DataFrame, strict_refs: bool = False, rules: Rules = RULES) -> DataFrame:
+    """Samples with `steps`, `step_ids` and `shown`."""
+    stepped = with_steps(samples, rules)
+    known = known_entities(stepped, objects, strict_refs, rules)
+    return with_highlights(with_step_ids(stepped, known, strict_refs, rules), strict_refs, rules)
+
+
+def search_key() -> Column:
+    """One text for the query columns of a search."""
+    return F.sha2(F.to_json(F.struct(*QUERY)), 256)
 
 
 def _query_columns(step: Column, object_id: Column) -> list[Column]:
+    """What a search asks for; arguments that its tool does not read are left out."""
+    radius = F.when(step.tool == "get_nearby_objects", F.try_variant_get(step.args["radius_meters"], "$", "double"))
+    time_range = F.when(step.tool == "get_objects_crossing_line", string_value(step.args["time_range"]))
     return [
         F.col("scenario_id"),
         step.tool.alias("tool"),
         object_id.alias("object_id"),
         string_value(step.args["object_type"]).alias("object_type"),
-        F.try_variant_get(step.args["radius_meters"], "$", "double").alias("radius_meters"),
-        string_value(step.args["time_range"]).alias("time_range"),
+        radius.alias("radius_meters"),
+        time_range.alias("time_range"),
     ]
 
 
 def searches(prepared: DataFrame) -> DataFrame:
-    """(id, pos, query columns): the search behind each highlight that takes search results."""
+    """(id, pos, query columns, key): the search behind each highlight that takes search results."""
     hits = F.filter("shown", lambda h: h.search.isNotNull())
     rows = prepared.select("id", "scenario_id", "steps", "step_ids", F.explode(hits).alias("h"))
     step = F.get(F.col("steps"), F.col("h.search"))
     return rows.select(
         "id", F.col("h.pos").alias("pos"), *_query_columns(step, F.get("step_ids", F.col("h.search")))
-    )
+    ).withColumn("key", search_key())
 
 
 def all_searches(prepared: DataFrame) -> DataFrame:
@@ -323,26 +418,33 @@ def search_results(queries: DataFrame, scenarios: DataFrame, objects: DataFrame,
     return reduce(DataFrame.unionByName, tables, nothing)
 
 
+def keyed_results(queries: DataFrame, scenarios: DataFrame, objects: DataFrame, traj: DataFrame) -> DataFrame:
+    """(key, result_id): every distinct search once, whoever asks for it. Traces hold the key of a search only."""
+    return search_results(queries, scenarios, objects, traj).select(search_key().alias("key"), "result_id").distinct()
+
+
+def search_sizes(queries: DataFrame, results: DataFrame) -> DataFrame:
+    """(id, pos, n): how many objects the search behind a highlight found."""
+    sizes = results.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return queries.join(sizes, "key").select("id", "pos", "n")
+
+
 def with_search_sizes(prepared: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
-    """Add `found`, a map from the position of a highlight to the size of its search result."""
-    sizes = results.groupBy(*QUERY).agg(F.count(F.lit(1)).alias("n"))
-    same = [queries[c].eqNullSafe(sizes[c]) for c in QUERY]
-    counted = (
-        queries.join(sizes, same, "left")
-        .groupBy(queries["id"])
-        .agg(F.map_from_entries(F.collect_list(F.struct(queries["pos"], F.coalesce("n", F.lit(0))))).alias("found"))
+    """Add `found`, a map from the position of a highlight to the size of its search result; empty ones are absent."""
+    counted = search_sizes(queries, results).groupBy("id").agg(
+        F.map_from_entries(F.collect_list(F.struct("pos", "n"))).alias("found")
     )
     joined = prepared.join(counted, "id", "left")
     return joined.withColumn("found", F.coalesce("found", F.create_map().cast("map<int,bigint>")))
 
 
-def step_errors(strict_refs: bool = False) -> Column:
+def step_errors(strict_refs: bool = False, rules: Rules = RULES) -> Column:
     """First error of each invalid step, ARRAY<STRUCT<pos, tool, error>>, on a row of `prepare`.
 
     With `strict_refs`, `found` must be there (see with_search_sizes): a search result can then
     be highlighted only when it is empty.
     """
-    required, returns = _lists(REQUIRED), _lists(RETURNS)
+    required, returns, texts = _lists(rules.required), _lists(rules.returns), _lists(rules.texts)
     steps, types = F.col("steps"), F.col("types")
 
     def bad_ref(r: Column) -> Column:
@@ -353,11 +455,17 @@ def step_errors(strict_refs: bool = False) -> Column:
         field_there = F.when(slot_query, named == (r.field == "entity")).otherwise(True)
         return r.at.isNull() | ~F.coalesce(field_known & field_there, F.lit(False))
 
+    def no_text(s: Column) -> Column:
+        """Whether the reference of a resolve_entity step is no text: not even one that is not found."""
+        tool, field = _reference(s.own, 1), _reference(s.own, 2)
+        entity = F.lit(False) if strict_refs else tool.isin("resolve_entity", "get_selected_entity")
+        return s.own.isNull() | (tool.isNotNull() & ~entity & ~F.coalesce(F.array_contains(texts[tool], field), F.lit(False)))
+
     def error_of(s: Column) -> Column:
         missing = F.array_except(required[s.tool], F.map_keys(s.args))
         own_id = F.get(F.col("step_ids"), s.pos)
-        works_on = _by_tool(ID_PARAM, "string")[s.tool].isNotNull()
-        needed = _by_tool(REQUIRED_TYPE, "string")[s.tool]
+        works_on = _by_tool(rules.id_param, "string")[s.tool].isNotNull()
+        needed = _by_tool(rules.required_type, "string")[s.tool]
         slot = string_value(s.args["entity_type"])
         slot_given = _given(s.args["entity_type"])
         scope = string_value(s.args["scope"])
@@ -368,13 +476,13 @@ def step_errors(strict_refs: bool = False) -> Column:
         if strict_refs:
             highlight_bad = highlight_bad | (F.coalesce(F.col("found")[s.pos], F.lit(0)) > 0)
         return (
-            F.when(~s.tool.isin(list(TOOLS)), "unknown_tool")
+            F.when(~s.tool.isin(list(rules.tools)), "unknown_tool")
             .when(F.exists(s.refs, bad_ref), "unresolved_reference")
             .when(F.size(missing) > 0, "missing_argument")
             .when(works_on & types[own_id].isNull(), "object_not_found")
             .when(types[own_id] != needed, "type_mismatch")
             .when((s.tool == "get_selected_entity") & slot_given & ~F.coalesce(slot.isin(SLOTS), F.lit(False)), "invalid_slot")
-            .when((s.tool == "resolve_entity") & string_value(s.args["reference"]).isNull(), "bad_argument")
+            .when((s.tool == "resolve_entity") & no_text(s), "bad_argument")
             .when((s.tool == "get_nearby_objects") & radius.isNull(), "bad_argument")
             .when(
                 (s.tool == "get_nearby_objects")
@@ -393,66 +501,113 @@ def _lists(values: dict[str, list[str]]) -> Column:
     return F.create_map(*chain.from_iterable((F.lit(k), _strings(v)) for k, v in values.items()))
 
 
-def with_final_state(prepared: DataFrame) -> DataFrame:
-    """Add what is left at the end: `artifacts`, `popups`, `highlights` (pos, ids, search)."""
+def with_timeline(prepared: DataFrame, rules: Rules = RULES) -> DataFrame:
+    """Add what steps put on the map: `drawn`, `popped` and `lit`, each item from `pos` to `until`.
+
+    `until` is the first later step that clears items of the kind; null where none does. The state at any
+    step is a selection of these items (see `alive`).
+    """
     clears = F.transform(
         F.filter("steps", lambda s: s.tool == "clear_artifacts"),
         lambda s: F.struct(s.pos.alias("pos"), string_value(s.args["scope"]).alias("scope")),
     )
     cleared = prepared.withColumn("_clears", clears)
 
-    def last_clear(scope: Column) -> Column:
-        of_scope = F.filter("_clears", lambda c: (c.scope == "all") | (c.scope == scope))
-        return F.coalesce(F.array_max(F.transform(of_scope, lambda c: c.pos)), F.lit(-1))
+    def until(pos: Column, scope: Column) -> Column:
+        later = F.filter("_clears", lambda c: (c.pos > pos) & ((c.scope == "all") | (c.scope == scope)))
+        return F.array_min(F.transform(later, lambda c: c.pos)).alias("until")
 
     def text(s: Column, name: str) -> Column:
         return F.try_variant_get(s.args[name], "$", "string")
 
-    def made(s: Column, prefix: str) -> Column:
-        digest = F.sha2(F.concat_ws("|", F.col("id"), s.pos.cast("string")), 256)
-        return F.concat(F.lit(prefix), F.substring(digest, 1, 16))
-
     selected = F.col("initial_state.selected")
 
     def source_of(s: Column) -> Column:
         raw = string_value(s.args["source_object_id"])
         at = F.get(F.filter(s.refs, lambda r: r.tool == _reference(raw, 1)), F.lit(0)).at
-        echoed = _echoed(F.col("step_ids"), at, F.col("steps.tool"), raw, selected)
+        echoed = _echoed(F.col("step_ids"), at, raw, selected, rules)
         return F.when(s.tool == "draw_polyline", F.when(_reference(raw, 1).isNull(), raw).otherwise(echoed))
 
     kind = lambda s: F.substring_index(s.tool, "_", -1)
-    artifacts = F.transform(
-        F.filter(
-            F.filter("steps", lambda s: s.tool.isin("draw_polyline", "draw_polygon", "draw_marker")),
-            lambda s: s.pos > last_clear(F.concat(kind(s), F.lit("s"))),
-        ),
+    drawn = F.transform(
+        F.filter("steps", lambda s: s.tool.isin("draw_polyline", "draw_polygon", "draw_marker")),
         lambda s: F.struct(
             s.pos.alias("pos"),
-            made(s, "artifact_").alias("artifact_id"),
+            until(s.pos, F.concat(kind(s), F.lit("s"))),
+            _made(s.pos, "artifact_").alias("artifact_id"),
             kind(s).alias("artifact_type"),
             text(s, "label").alias("label"),
             source_of(s).alias("source_object_id"),
         ),
     )
-    popups = F.transform(
-        F.filter("steps", lambda s: (s.tool == "show_popup") & (s.pos > last_clear(F.lit("popups")))),
+    popped = F.transform(
+        F.filter("steps", lambda s: s.tool == "show_popup"),
         lambda s: F.struct(
             s.pos.alias("pos"),
-            made(s, "popup_").alias("popup_id"),
+            until(s.pos, F.lit("popups")),
+            _made(s.pos, "popup_").alias("popup_id"),
             F.get("step_ids", s.pos).alias("target_id"),
             text(s, "content").alias("content"),
         ),
     )
-    highlights = F.filter("shown", lambda h: h.pos > last_clear(F.lit("highlights")))
-    return cleared.withColumns({"artifacts": artifacts, "popups": popups, "highlights": highlights}).drop("_clears")
+    lit = F.transform("shown", lambda h: F.struct(h.pos.alias("pos"), until(h.pos, F.lit("highlights")), h.ids.alias("ids"), h.search.alias("search")))
+    return cleared.withColumns({"drawn": drawn, "popped": popped, "lit": lit}).drop("_clears")
+
+
+def alive(items: str, at: Column | None = None) -> Column:
+    """The items of a timeline that are on the map before step `at`, or at the end."""
+
+    def there(x: Column) -> Column:
+        return x.until.isNull() if at is None else (x.pos < at) & F.coalesce(x.until >= at, F.lit(True))
+
+    return F.transform(F.filter(items, there), lambda x: x.dropFields("until"))
+
+
+def with_final_state(prepared: DataFrame) -> DataFrame:
+    """Add what is left at the end: `artifacts`, `popups`, `highlights` (pos, ids, search)."""
+    return with_timeline(prepared).withColumns(
+        {"artifacts": alive("drawn"), "popups": alive("popped"), "highlights": alive("lit")}
+    ).drop("drawn", "popped", "lit")
+
+
+def states(timed: DataFrame, at: Column, queries: DataFrame, results: DataFrame) -> DataFrame:
+    """(id, at, time, selected, active_layers, drawn_artifacts, highlighted_objects, popups): the whole state before steps.
+
+    `timed` comes from with_timeline; `at` is the array of positions asked for, the number of steps being the end.
+    Highlights of searches are expanded here only, from `keyed_results`.
+    """
+    strings = F.array().cast("array<string>")
+    state = F.col("initial_state")
+    rows = timed.withColumn("at", F.explode(at)).select(
+        "id",
+        "at",
+        state.time.alias("time"),
+        state.selected.alias("selected"),
+        state.active_layers.alias("active_layers"),
+        F.transform(alive("drawn", F.col("at")), lambda a: a.dropFields("pos")).alias("drawn_artifacts"),
+        alive("lit", F.col("at")).alias("_lit"),
+        F.transform(alive("popped", F.col("at")), lambda p: p.dropFields("pos")).alias("popups"),
+    )
+    shown = rows.select("id", "at", F.explode("_lit").alias("h")).filter("h.search IS NOT NULL")
+    keys = shown.select("id", "at", "h.pos").join(queries.select("id", "pos", "key"), ["id", "pos"])
+    found = keys.join(results, "key").groupBy("id", "at").agg(F.collect_set("result_id").alias("_found"))
+    named = F.flatten(F.transform("_lit", lambda h: F.coalesce(h.ids, strings)))
+    ids = F.array_sort(F.array_distinct(F.concat(named, F.coalesce("_found", strings))))
+    joined = rows.join(found, ["id", "at"], "left").withColumn("highlighted_objects", ids)
+    return joined.select(
+        "id", "at", "time", "selected", "active_layers", "drawn_artifacts", "highlighted_objects", "popups"
+    )
 
 
 def highlighted_objects(stated: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
-    """(id, object_id): highlighted objects at the end of each trace, in long form."""
-    calls = stated.select("id", F.explode("highlights").alias("h"))
-    literal = calls.select("id", F.explode("h.ids").alias("object_id"))
-    alive = calls.filter(F.col("h.search").isNotNull()).select("id", F.col("h.pos").alias("pos"))
-    asked = alive.join(queries, ["id", "pos"])
-    same = [asked[c].eqNullSafe(results[c]) for c in QUERY]
-    found = asked.join(results, same).select(asked["id"], F.col("result_id").alias("object_id"))
-    return literal.unionByName(found).distinct()
+    """(id, object_id): highlighted objects at the end of each trace, in long form.
+
+    Only samples whose highlights come from more than one call can name an object twice; no other rows are shuffled for it.
+    """
+    calls = stated.select("id", F.size("highlights").alias("_calls"), F.explode("highlights").alias("h"))
+    literal = calls.select("id", "_calls", F.explode(F.array_distinct("h.ids")).alias("object_id"))
+    shown = calls.filter("h.search IS NOT NULL").select("id", "_calls", "h.pos")
+    found = shown.join(queries.select("id", "pos", "key"), ["id", "pos"]).join(results, "key")
+    every = literal.unionByName(found.select("id", "_calls", F.col("result_id").alias("object_id")))
+    once = every.filter("_calls = 1").select("id", "object_id")
+    return once.unionByName(every.filter("_calls > 1").select("id", "object_id").distinct())

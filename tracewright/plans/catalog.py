@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from .vocabulary import CLEAR_SCOPES, OBJECT_TYPES, SLOTS
 
@@ -109,8 +109,67 @@ TOOLS = {
     ),
 }
 
+# Result fields that are texts, whatever the tool.
+TEXT_RESULTS = [
+    "id", "type", "name", "vehicle_id", "polygon_id", "line_id", "center_object_id",
+    "time_range", "time", "artifact_id", "popup_id", "cleared",
+]
+
 # Arguments the static gate looks up, whatever the tool.
 ID_ARGUMENTS = ["object_id", "vehicle_id", "polygon_id", "line_id", "target_id"]
 
 # Tools whose `results` are lists of objects.
 SEARCH_TOOLS = ["get_objects_inside_polygon", "get_nearby_objects", "get_objects_crossing_line"]
+
+# The type that the object named by an argument must have, where one is asked for.
+ARGUMENT_TYPES = {"vehicle_id": "vehicle", "polygon_id": "polygon", "line_id": "line"}
+
+
+def from_rows(rows: list) -> dict[str, Tool]:
+    """Tools from the rows of sources.read_catalog, a few per tool.
+
+    What a tool works on follows from its parameters: the first that names an object, and the result field
+    that gives it back. Tools that the fixed catalog has keep their result fields; others
+    return what the rows name in `returns`, where there is such a column.
+    """
+    tools: dict[str, Tool] = {}
+    for row in rows:
+        tool = tools.get(row["tool"])
+        if tool is None:
+            known = TOOLS.get(row["tool"])
+            named = row["returns"] if "returns" in row and row["returns"] else None
+            returns = list(named) if named is not None else list(known.returns) if known else []
+            tool = tools[row["tool"]] = Tool(row["category"], [], returns, bool(row["side_effects"]))
+        if row["param"] is not None:
+            tool.params.append(Param(row["param"], row["type"], row["required"], row["enum"]))
+    return {name: _with_roles(name, tool) for name, tool in tools.items()}
+
+
+def _with_roles(name: str, tool: Tool) -> Tool:
+    if name in ("resolve_entity", "get_selected_entity"):
+        return replace(tool, echo="entity")
+    own = next((p.name for p in tool.params if p.name in ID_ARGUMENTS), None)
+    backs = [own, "id", "center_object_id"]
+    return replace(
+        tool, id_param=own, echo=next((f for f in backs if own and f in tool.returns), None), required_type=ARGUMENT_TYPES.get(own)
+    )
+
+
+class Rules:
+    """A catalog as the lookups that the checks of a step need."""
+
+    def __init__(self, tools: dict[str, Tool]):
+        self.tools = tools
+        self.id_param = {name: t.id_param for name, t in tools.items() if t.id_param}
+        self.echo = {name: t.echo for name, t in tools.items() if t.echo}
+        self.required_type = {name: t.required_type for name, t in tools.items() if t.required_type}
+        self.required = {name: [p.name for p in t.params if p.required] for name, t in tools.items()}
+        self.returns = {name: t.returns for name, t in tools.items()}
+        self.texts = {name: [f for f in t.returns if f in TEXT_RESULTS] for name, t in tools.items()}
+        self.searches = [name for name, t in tools.items() if "results" in t.returns]
+        self.enums = {(name, p.name): p.enum for name, t in tools.items() for p in t.params if p.enum}
+        ranges = [v for (_, param), values in self.enums.items() if param == "time_range" for v in values]
+        self.time_ranges = list(dict.fromkeys(ranges))
+
+
+RULES = Rules(TOOLS)
