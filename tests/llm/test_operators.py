@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -337,6 +338,37 @@ def test_passages_of_two_documents_with_frequent_lines(spark):
     assert not lost
 
 
+def test_longest_stretch_as_by_all_pairs():
+    rng, cw = np.random.default_rng(5), compact_windows
+    for _ in range(200):
+        sizes = rng.integers(0, 12, (int(rng.integers(1, 30)), 3)) + (0, 0, 1)
+        runs, at = [], np.zeros(2, np.int64)
+        for gap_x, gap_y, n in sizes.tolist():
+            at = at + (gap_x, gap_y)
+            runs.append((*at.tolist(), n))
+            at = at + n
+        runs = np.array(runs)
+
+        def share(b, e):
+            c = runs[b : e + 1, 2].sum()
+            sides = (runs[e, :2] + runs[e, 2] - runs[b, :2]).sum()
+            return c / (sides - c), c
+
+        want = max(c for b in range(len(runs)) for e in range(b, len(runs)) for s, c in [share(b, e)] if s >= cw.SIMILARITY - 1e-12)
+        s, c = share(*cw.longest_stretch(runs))
+        assert s >= cw.SIMILARITY - 1e-9 and c == want
+
+
+def test_verification_is_linear_in_shared_lines():
+    """One seed of two documents with thousands of runs that make no passage: walked once, for all of its seeds."""
+    rng, cw = np.random.default_rng(6), compact_windows
+    lines = rng.integers(1, 1 << 30, (3000, 6))
+    x, y = (np.concatenate([np.concatenate([line, rng.integers(1 << 30, 1 << 31, 9)]) for line in lines]) for _ in range(2))
+    start = time.perf_counter()
+    assert cw.alike_passages(x, y, [(0, 15 * k) for k in range(3000)]) == []
+    assert time.perf_counter() - start < 20
+
+
 @pytest.mark.parametrize("most", (4, 1 << 40))
 def test_joint_windows_are_the_least_places_of_all_passages(monkeypatch, most):
     monkeypatch.setattr(compact_windows, "MIN_SHINGLES", 6)
@@ -367,10 +399,10 @@ def test_edited_passages_as_by_brute_force():
             spans = [(a, a + s) for s in (46, n - 4) for a in range(min(len(x), len(y)) - s + 1)]
             want = any(cw.alike(x[a:b], y[c:d]) >= 0.8 for a, b in spans for c, d in spans if abs(a - c) <= 4)
             seeds = np.intersect1d(x, y, return_indices=True)
-            found = [cw.best_passage(x, y, int(i), int(j)) for i, j in zip(*seeds[1:], strict=True)]
+            found = cw.alike_passages(x, y, [(int(i - j), int(i)) for i, j in zip(*seeds[1:], strict=True)])
             assert any(found) == want
             some += want
-            for p in filter(None, found):
+            for p in found:
                 assert min(p[1] - p[0], p[3] - p[2]) >= 46 and cw.alike(x[p[0] : p[1]], y[p[2] : p[3]]) == p[4] >= 0.8
     assert some >= 10
 
