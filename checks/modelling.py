@@ -413,17 +413,25 @@ def adversarial_requests(spark, sf_dir):
     with_views(
         "bps objects",
         """
-SELECT 'plan|' || b.scenario_id || '|' || doc_id AS request_id, task_type, o.n AS listed_ids
-FROM bps b JOIN (SELECT scenario_id, count(*) AS n FROM objects GROUP BY scenario_id) o ON o.scenario_id = b.scenario_id
+SELECT 'plan|' || b.scenario_id || '|' || doc_id AS request_id, task_type, (o.n + 49) // 50 AS parts, o.n AS listed_ids, o.ids AS ids_sha256
+FROM bps b JOIN (SELECT scenario_id, count(*) AS n, sha256(string_agg(id, ',' ORDER BY ord)) AS ids FROM objects GROUP BY scenario_id) o
+     ON o.scenario_id = b.scenario_id
 WHERE family >= 8""",
     ),
 )
 def plan_requests(spark, sf_dir):
+    """Requests with all ids of their scenarios, 50 a part, put together again."""
     bps = fx.blueprints(spark, sf_dir).filter(~F.col("task_type").isin(list(traces.TEMPLATES)))
-    pages = requests.object_id_pages(fx.objects(spark, sf_dir))
-    listed = pages.groupBy("scenario_id").agg(F.sum(F.size("ids")).alias("listed_ids"))
-    asked = requests.plan_requests(bps).join(listed, "scenario_id")
-    return asked.select("request_id", F.try_variant_get(_after("Blueprint"), "$.task_type", "string").alias("task_type"), "listed_ids")
+    asked = requests.plan_requests(bps, fx.objects(spark, sf_dir), page_size=50)
+    ids = F.from_json(F.regexp_extract("text", "Ids, page [0-9]+: (.*)", 1), "array<string>")
+    task = F.when(F.col("part") == 0, F.try_variant_get(_after("Blueprint"), "$.task_type", "string"))
+    whole = asked.select("request_id", "part", ids.alias("ids"), task.alias("task_type")).groupBy("request_id").agg(
+        F.max("task_type").alias("task_type"),
+        F.count(F.lit(1)).alias("parts"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: x.ids)).alias("ids"),
+    )
+    listed, digest = F.size("ids").cast("bigint").alias("listed_ids"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256")
+    return whole.select("request_id", "task_type", "parts", listed, digest)
 
 
 @query(
@@ -446,24 +454,25 @@ def multi_turn_samples(spark, sf_dir):
     with_views(
         "scenarios vehicles cameras zones roads traj",
         """
-SELECT s.scenario_id, 'objects' AS what, o.n, o.sum_x FROM scenarios s JOIN (
-  SELECT scenario_id, count(*) AS n, round(sum(x), 4) AS sum_x FROM (SELECT scenario_id, lon AS x FROM vehicles UNION ALL SELECT scenario_id, lon FROM cameras
-    UNION ALL SELECT scenario_id, x0 FROM zones UNION ALL SELECT scenario_id, x0 FROM roads) GROUP BY scenario_id) o ON o.scenario_id = s.scenario_id
+SELECT scenario_id, id, rank * 1000000000000000000 + row_number() OVER (PARTITION BY scenario_id, rank ORDER BY ord) - 1 AS at, round(x, 6) AS x
+FROM (SELECT scenario_id, id, ord, 0 AS rank, lon AS x FROM vehicles UNION ALL SELECT scenario_id, id, ord, 1, lon FROM cameras
+      UNION ALL SELECT scenario_id, id, ord, 2, x0 FROM zones UNION ALL SELECT scenario_id, id, ord, 3, x0 FROM roads)
 UNION ALL
-SELECT scenario_id, 'points', count(*), round(sum(lon), 4) FROM traj GROUP BY scenario_id""",
+SELECT scenario_id, object_id, pos - 1, round(lon, 6) FROM traj""",
     ),
 )
 def scenario_round_trip(spark, sf_dir):
-    """Tables to documents, documents to files, files to tables."""
+    """Tables to documents, several to a scenario, documents to files, files to tables."""
     out = scratch_dir(spark)
-    made = docs.to_documents(fx.scenarios(spark, sf_dir), fx.objects(spark, sf_dir), fx.traj(spark, sf_dir))
+    made = docs.to_documents(
+        fx.scenarios(spark, sf_dir), fx.objects(spark, sf_dir), fx.traj(spark, sf_dir), rows_per_part=50
+    )
     docs.write_documents(made, out)
     read = docs.read_documents(spark, out, one_per_file=False)
-    o, t = docs.object_table(read), docs.trajectory_table(read)
     x = F.coalesce(F.col("geom.pt")[0], F.get(F.col("geom.path"), F.lit(0))[0], F.col("geom.rings")[0][0][0])
-    total = lambda c: [F.count(F.lit(1)).alias("n"), F.round(F.sum(c), 4).alias("sum_x")]
-    per_object = o.groupBy("scenario_id").agg(*total(x)).withColumn("what", F.lit("objects"))
-    return per_object.unionByName(t.groupBy("scenario_id").agg(*total(F.col("lon"))).withColumn("what", F.lit("points")))
+    objects = docs.object_table(read).select("scenario_id", "id", F.col("ord").alias("at"), F.round(x, 6).alias("x"))
+    points = docs.trajectory_table(read)
+    return objects.unionByName(points.select("scenario_id", F.col("object_id").alias("id"), F.col("pos").alias("at"), F.round("lon", 6).alias("x")))
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans import prompts
 from ..plans.catalog import TOOLS
-from .skew import first_rows
+from .skew import first_rows, with_index
 
 # How many objects of each type a compact scenario shows, and how many ids an
 # adversarial request shows.
@@ -115,25 +115,30 @@ def adversarial_requests(items: DataFrame, objects: DataFrame, template: str = p
     return items.join(ids, "scenario_id", "left").select(*items.columns, text.alias("text"))
 
 
-def plan_requests(blueprints: DataFrame, template: str = prompts.PLAN) -> DataFrame:
-    """Requests for traces of blueprints without a template.
+def plan_requests(blueprints: DataFrame, objects: DataFrame, template: str = prompts.PLAN, page_size: int = 1000) -> DataFrame:
+    """Requests for traces of blueprints without a template, (request_id, scenario_id, bp_ord, part, text).
 
-    A plan request lists every id of its scenario. The ids are not repeated per request: they
-    are the pages of `object_id_pages` under the request's scenario_id.
+    A plan request lists every id of its scenario, in order. Its text is that of all its parts one after
+    another: part 0 begins with the template, and each part ends with a line of at most `page_size` ids.
     """
     shown = F.to_json(F.struct(*[c for c in blueprints.columns if c not in ("scenario_id", "bp_ord")]))
-    return blueprints.select(
+    pages = object_id_pages(objects, page_size)
+    part, ids = F.coalesce("page", F.lit(0)), F.to_json(F.coalesce("ids", F.array().cast("array<string>")))
+    head = render(template, scenario_id=F.col("scenario_id"), blueprint=F.col("_shown"))
+    line = F.concat(F.lit("\nIds, page "), (part + 1).cast("string"), F.lit(": "), ids)
+    return blueprints.withColumn("_shown", shown).join(pages, "scenario_id", "left").select(
         F.concat_ws("|", F.lit("plan"), "scenario_id", F.col("bp_ord").cast("string")).alias("request_id"),
         "scenario_id",
         "bp_ord",
-        render(template, scenario_id=F.col("scenario_id"), blueprint=shown).alias("text"),
+        part.alias("part"),
+        F.concat(F.when(part == 0, head).otherwise(""), line).alias("text"),
     )
 
 
 def object_id_pages(objects: DataFrame, page_size: int = 1000) -> DataFrame:
-    """(scenario_id, page, ids): all ids of each scenario in order, at most `page_size` a page."""
+    """(scenario_id, page, ids): all ids of each scenario in order, `page_size` a page but for the last."""
+    numbered = with_index(objects.select("scenario_id", "ord", "id"), ["scenario_id"], ["ord"], "_at")
     return (
-        objects.select("scenario_id", F.floor(F.col("ord") / page_size).alias("page"), "ord", "id")
-        .groupBy("scenario_id", "page")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "id"))), lambda x: x.id).alias("ids"))
+        numbered.groupBy("scenario_id", F.floor(F.col("_at") / page_size).alias("page"))
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "id"))), lambda x: x.id).alias("ids"))
     )

@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # A key with more rows than this on one side is cut into blocks of about this size.
 BLOCK_ROWS = 20_000
-# Most keys that are cut into blocks; bounds the broadcast table of hot keys. A key beyond
-# it holds less than 1/4096 of the rows and is left to the adaptive skew join.
-MAX_HOT_KEYS = 4_096
+# Up to so many hot keys are broadcast; more are joined like any other table.
+BROADCAST_KEYS = 100_000
 
 
 def _heavy(df: DataFrame, keys: list[str], blocks: str, block_rows: int) -> DataFrame:
@@ -40,19 +41,20 @@ def block_join(
     within a key, where few bytes can mean much work and the adaptive skew join, which goes by
     bytes, does not step in. `left_id` / `right_id` name the columns a row's block is drawn from.
 
-    The hot keys, at most MAX_HOT_KEYS, are looked up first by one job over the key columns of
-    both sides; without any, this is the plain join.
+    The hot keys are looked up first, by one job over the key columns of both sides that writes them as a
+    table; without any, this is the plain join. Every hot key is cut, however many there are.
     """
     a, b = "_left_blocks", "_right_blocks"
     sides = _heavy(left, keys, a, block_rows).withColumn(b, F.lit(1)).unionByName(
         _heavy(right, keys, b, block_rows).withColumn(a, F.lit(1))
     )
     cuts = sides.groupBy(*keys).agg(F.max(a).alias(a), F.max(b).alias(b))
-    worst = cuts.orderBy((F.col(a).cast("long") * F.col(b)).desc()).limit(MAX_HOT_KEYS)
-    found = worst.collect()
-    if not found:
+    hot = materialize(cuts)
+    n_hot = hot.count()
+    if not n_hot:
         return left.join(right, keys)
-    hot = F.broadcast(left.sparkSession.createDataFrame(found, worst.schema))
+    if n_hot <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
 
     def in_blocks(df: DataFrame, own: str, other: str, ids: list[str], own_tag: str, other_tag: str):
         return (
@@ -97,6 +99,21 @@ def with_next(
     )
 
 
+def with_index(df: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+    """Add the number of each row in its group, from 0 in order, for groups of any size.
+
+    Rows are dealt by range, so that a large group lies in many partitions; they are numbered
+    inside of each, and the sizes of the pieces before are added.
+    """
+    dealt = materialize(df.repartitionByRange(*by, *order).withColumn("_piece", F.spark_partition_id()))
+    before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = dealt.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    pieces = pieces.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*by, "_piece").orderBy(*order)) - 1
+    numbered = dealt.withColumn("_inside", inside).join(pieces, [*by, "_piece"])
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_inside")).alias(name))
+
+
 def first_rows(df: DataFrame, keys: list[str], order: str, n: int) -> DataFrame:
     """The first `n` rows of each group, with their `rank`.
 

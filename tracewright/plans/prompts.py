@@ -44,7 +44,7 @@ Some object ids: {object_ids}
 Answer with one JSON blueprint that has negative_case and should_ask_clarification set."""
 
 PLAN = """Write the tool calls that carry out this blueprint as a JSON array of {"tool": ..., "args": {...}}. Refer
-to an earlier result as $tool.field. The ids of the scenario follow in numbered pages.
+to an earlier result as $tool.field. The ids of the scenario follow, in numbered pages.
 
 Scenario: {scenario_id}
 Blueprint: {blueprint}"""

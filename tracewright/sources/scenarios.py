@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.requests import geojson
+from ..operators.skew import with_index
 from ..plans.vocabulary import CATEGORIES
 from . import schema
 
@@ -14,16 +15,18 @@ OBJECT = (
     "geometry: struct<type: string, coordinates: variant>, "
     "properties: struct<speed_kmh: double, status: string, heading_deg: double, extra: map<string, string>>>"
 )
-# `part` numbers the documents of a scenario that was too large for one.
+# `part` numbers the documents of a scenario that was written as several; `first` says how many objects of each
+# category, or points of a vehicle, the parts before hold. Documents that stand alone have neither.
 DOCUMENT = (
-    "scenario_id string, part bigint, coordinate_system string, time string, objects struct<"
+    "scenario_id string, part bigint, coordinate_system string, time string, first struct<"
+    + ", ".join(f"{c}: bigint" for c in CATEGORIES)
+    + ">, objects struct<"
     + ", ".join(f"{c}: array<{OBJECT}>" for c in CATEGORIES)
-    + ">, time_series map<string, map<string, array<struct<timestamp: string, coordinates: array<double>>>>>"
+    + ">, time_series map<string, struct<first: bigint, trajectory: array<struct<timestamp: string, coordinates: array<double>>>>>"
 )
 
 CRS = "EPSG:4326"  # fixed value
-PART_STEP = 1 << 31
-CATEGORY_STEP = 10**18
+CATEGORY_STEP = 10**18  # objects of a category are numbered below this
 
 TYPE_OF = {"vehicles": "vehicle", "cameras": "camera", "polygons": "polygon", "lines": "line"}
 
@@ -46,11 +49,14 @@ def object_table(documents: DataFrame) -> DataFrame:
     def numbered(rank: int, category: str):
         listed = F.coalesce(f"objects.{category}", F.array().cast(f"array<{OBJECT}>"))
         return F.transform(
-            listed, lambda o, i: F.struct((F.lit(rank * CATEGORY_STEP) + i).alias("at"), o.alias("o"))
+            listed,
+            lambda o, i: F.struct(
+                (F.lit(rank * CATEGORY_STEP) + F.coalesce(f"first.{category}", F.lit(0)) + i).alias("at"), o.alias("o")
+            ),
         )
 
     every = F.concat(*[numbered(rank, c) for rank, c in enumerate(CATEGORIES)])
-    rows = documents.select("scenario_id", F.coalesce("part", F.lit(0)).alias("_part"), F.inline(every))
+    rows = documents.select("scenario_id", F.inline(every))
     kind, coordinates = F.col("o.geometry.type"), F.col("o.geometry.coordinates")
 
     def shape(name: str, as_type: str):
@@ -64,7 +70,7 @@ def object_table(documents: DataFrame) -> DataFrame:
     )
     return rows.select(
         "scenario_id",
-        (F.col("_part") * PART_STEP + F.col("at")).alias("ord"),
+        F.col("at").alias("ord"),
         "o.id",
         "o.type",
         "o.name",
@@ -75,15 +81,14 @@ def object_table(documents: DataFrame) -> DataFrame:
 
 
 def trajectory_table(documents: DataFrame) -> DataFrame:
-    part = F.coalesce("part", F.lit(0)).alias("_part")
-    series = documents.select("scenario_id", part, F.explode("time_series").alias("object_id", "_series"))
+    series = documents.select("scenario_id", F.explode("time_series").alias("object_id", "_series"))
     points = series.select(
-        "scenario_id", "object_id", "_part", F.posexplode(F.col("_series")["trajectory"]).alias("pos", "p")
+        "scenario_id", "object_id", F.coalesce("_series.first", F.lit(0)).alias("_first"), F.posexplode("_series.trajectory").alias("pos", "p")
     )
     return points.select(
         "scenario_id",
         "object_id",
-        (F.col("_part") * PART_STEP + F.col("pos")).alias("pos"),
+        (F.col("_first") + F.col("pos")).alias("pos"),
         F.to_timestamp("p.timestamp").alias("ts"),
         F.col("p.coordinates")[0].alias("lon"),
         F.col("p.coordinates")[1].alias("lat"),
@@ -95,56 +100,59 @@ def to_documents(
 ) -> DataFrame:
     """The tables as documents again, the inverse of the three functions above.
 
-    A scenario of ordinary size is one document. The objects and trajectories of one with more
-    rows than `rows_per_part` go on in documents of the same scenario_id with a `part` above 0,
-    so that no task has to build it whole; the tables read back hold the same rows in the same
-    order.
+    The objects of a scenario are numbered in order, and its trajectory points by vehicle and order; a document
+    takes the next `rows_per_part` of both. A scenario of ordinary size is one document, of
+    the given format; one of any size goes on in further parts, whose `first` says where each list continues. The
+    tables read back hold the same rows in the same order, numbered from 0 per category and vehicle.
     """
-
-    def parted(df: DataFrame, position: str) -> DataFrame:
-        size = df.groupBy("scenario_id").agg(F.count(F.lit(1)).alias("_n"))
-        part = F.when(F.col("_n") <= rows_per_part, 0).otherwise(1 + F.floor(F.col(position) / rows_per_part))
-        return df.join(size, "scenario_id").withColumn("part", part).drop("_n")
-
     shown = F.struct(
         "id", "type", "name", "aliases", geojson(F.col("geom")).alias("geometry"), F.col("props").alias("properties")
     )
+    rank = F.create_map(*[F.lit(x) for i, kind in enumerate(TYPE_OF.values()) for x in (kind, i)])[F.col("type")]
+    placed = objects.withColumn("_rank", rank).filter("_rank is not null")
+    placed = with_index(placed, ["scenario_id"], ["_rank", "ord"], "_at")
+    part = F.floor(F.col("_at") / rows_per_part).alias("part")
+
+    def of_kind(kind: str):
+        return F.col("type") == kind
 
     def in_order(kind: str):
-        mine = F.when(F.col("type") == kind, F.struct("ord", F.to_json(shown).alias("j")))
+        mine = F.when(of_kind(kind), F.struct("_at", F.to_json(shown).alias("j")))
         return F.transform(F.array_sort(F.collect_list(mine)), lambda x: F.parse_json(x.j))
 
-    listed = (
-        parted(objects, "ord")
-        .groupBy("scenario_id", "part")
-        .agg(F.struct(*[in_order(kind).alias(category) for category, kind in TYPE_OF.items()]).alias("objects"))
+    starts = placed.groupBy("scenario_id").agg(*[F.min(F.when(of_kind(k), F.col("_at"))).alias(f"_start_{c}") for c, k in TYPE_OF.items()])
+    listed = placed.groupBy("scenario_id", part).agg(
+        F.struct(*[in_order(kind).alias(category) for category, kind in TYPE_OF.items()]).alias("objects"),
+        *[F.min(F.when(of_kind(k), F.col("_at"))).alias(f"_first_{c}") for c, k in TYPE_OF.items()],
     )
+    offset = {c: F.nullif(F.col(f"_first_{c}") - F.col(f"_start_{c}"), F.lit(0)) for c in TYPE_OF}
+    first = F.when(
+        F.coalesce(*offset.values()).isNotNull(), F.struct(*[o.alias(c) for c, o in offset.items()])
+    )
+    listed = listed.join(starts, "scenario_id").select("scenario_id", "part", first.alias("first"), "objects")
+
     point = F.struct(
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"), F.array("lon", "lat").alias("coordinates")
     )
+    points = with_index(traj, ["scenario_id"], ["object_id", "pos"], "_at")
+    begins = points.groupBy("scenario_id", "object_id").agg(F.min("_at").alias("_start"))
     paths = (
-        parted(traj, "pos")
-        .groupBy("scenario_id", "part", "object_id")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", point.alias("p")))).alias("_points"))
-        .withColumn("_path", F.create_map(F.lit("trajectory"), F.transform("_points", lambda x: x.p)))
+        points.groupBy("scenario_id", part, "object_id")
+        .agg(F.array_sort(F.collect_list(F.struct("_at", point.alias("p")))).alias("_points"))
+        .join(begins, ["scenario_id", "object_id"])
     )
-    # Part 0 holds all vehicles of a small scenario, any other part one slice of one vehicle.
-    together = F.map_from_entries(F.collect_list(F.struct("object_id", "_path"))).alias("time_series")
-    small = paths.filter(F.col("part") == 0).groupBy("scenario_id").agg(together)
-    slices = paths.filter(F.col("part") > 0).select(
-        "scenario_id", "part", F.create_map("object_id", "_path").alias("time_series")
+    slice_ = F.struct(
+        F.nullif(F.col("_points")[0]["_at"] - F.col("_start"), F.lit(0)).alias("first"),
+        F.transform("_points", lambda x: x.p).alias("trajectory"),
     )
-    first = listed.filter(F.col("part") == 0).drop("part")
-    base = scenarios.select("scenario_id").withColumn("part", F.lit(0).cast("bigint"))
-    documents = (
-        base.join(first, "scenario_id", "left")
-        .join(small, "scenario_id", "left")
-        .unionByName(listed.filter(F.col("part") > 0), allowMissingColumns=True)
-        .unionByName(slices, allowMissingColumns=True)
+    series = paths.groupBy("scenario_id", "part").agg(
+        F.map_from_entries(F.collect_list(F.struct("object_id", slice_.alias("s")))).alias("time_series")
     )
     clock = scenarios.select("scenario_id", F.date_format("time", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("time"))
-    return documents.join(clock, "scenario_id").select(
-        "scenario_id", "part", F.lit(CRS).alias("coordinate_system"), "time", "objects", "time_series"
+    alone = scenarios.select("scenario_id", F.lit(0).cast("bigint").alias("part"))
+    parts = alone.join(listed, ["scenario_id", "part"], "full").join(series, ["scenario_id", "part"], "full")
+    return parts.join(clock, "scenario_id").select(
+        "scenario_id", "part", F.lit(CRS).alias("coordinate_system"), "time", "first", "objects", "time_series"
     )
 
 
