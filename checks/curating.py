@@ -284,14 +284,17 @@ def funnel_report(spark, sf_dir):
         """
 SELECT round(avg(CASE WHEN NOT traced THEN 0 WHEN family = 0 THEN 3 + s WHEN family = 1 THEN 3 + s WHEN family = 2 THEN 3
                       WHEN family = 3 THEN 3 + s WHEN family = 7 THEN 3 ELSE 2 END), 6) AS mean_steps,
-       count(*) FILTER (mutation > 0) AS negatives, CAST(100 AS DOUBLE) AS negative_correct_pct, CAST(100 AS DOUBLE) AS acceptance_pct,
+       count(*) FILTER (mutation > 0) AS negatives, CAST(100 AS DOUBLE) AS negative_correct_pct,
+       round(count(*) FILTER (doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)) * 100 / count(*), 6) AS acceptance_pct,
        round((count(*) - (SELECT count(*) FROM k4)) * 100 / count(*), 6) AS duplicate_pct
 FROM (SELECT *, CAST(sel AS INTEGER) AS s FROM keyed)""",
     ),
 )
 def quality_metrics(spark, sf_dir):
+    """Samples whose documents have a good label count as accepted."""
     s = fx.samples(spark, sf_dir)
-    return metrics.quality_metrics(s.withColumn("semantic_pass", F.lit(True)), dedup.dedup_stats(s))
+    judged = s.join(fx.verdicts(spark, sf_dir, s), "id", "left").withColumn("semantic_pass", F.coalesce("valid", F.lit(False)))
+    return metrics.quality_metrics(judged, dedup.dedup_stats(s))
 
 
 @query(
