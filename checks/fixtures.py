@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from tracewright.functions import geo
@@ -13,10 +16,11 @@ from tracewright.functions.text import padded
 from tracewright.operators import assemble, negatives
 from tracewright.plans import traces
 from tracewright.plans.vocabulary import TASK_FAMILIES
-from tracewright.session import configure, materialize
+from tracewright.session import configure, materialize, scratch_dir
 from tracewright.sources import schema
 
 SCENARIOS = 25
+_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 CATEGORY_STEP = 10**12
 ID = {"vehicle": "vehicle_", "camera": "camera_", "polygon": "zone_", "line": "road_"}
 
@@ -25,6 +29,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def written(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table that many queries start from, written once per application and input, and read by each of them."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    for _ in range(2):
+        if key not in _WRITTEN:
+            df, path = make(), scratch_dir(spark)
+            df.write.parquet(path)
+            _WRITTEN[key] = path, df.schema
+        path, shape = _WRITTEN[key]
+        try:
+            return spark.read.schema(shape).parquet(path)
+        except AnalysisException:  # the scratch folder has been cleared
+            del _WRITTEN[key]
+    raise FileNotFoundError(path)
+
+
 def lon(key: Column, factor: int, offset: Column | int = 0) -> Column:
     return (F.lit(106620000) + key.cast("long") * factor % 26000 + offset) / F.lit(1e6)
 
@@ -252,13 +272,15 @@ def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str, with_negatives: bool = True) -> DataFrame:
-    """Samples of all blueprints, written once because most operators read them several times."""
-    asked = blueprints(spark, sf_dir)
-    negative = negatives.negative_cases(asked, objects(spark, sf_dir)) if with_negatives else None
-    table = assemble.all_blueprints(traces.with_gold_trace(asked), negative)
-    return materialize(
-        assemble.assemble_samples(table, scenarios(spark, sf_dir), utterances(spark, sf_dir))
-    )
+    """Samples of all blueprints."""
+
+    def make() -> DataFrame:
+        asked = blueprints(spark, sf_dir)
+        negative = negatives.negative_cases(asked, objects(spark, sf_dir)) if with_negatives else None
+        table = assemble.all_blueprints(traces.with_gold_trace(asked), negative)
+        return assemble.assemble_samples(table, scenarios(spark, sf_dir), utterances(spark, sf_dir))
+
+    return written(configure(spark), sf_dir, f"samples {with_negatives}", make)
 
 
 def _step(tool: str, **args: Column | str) -> Column:
@@ -268,6 +290,10 @@ def _step(tool: str, **args: Column | str) -> Column:
 
 
 def faulty_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written(configure(spark), sf_dir, "faulty samples", lambda: _faulty(spark, sf_dir))
+
+
+def _faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All samples; positive ones have further steps, many of them wrong, added by modulus of the blueprint."""
     base = samples(spark, sf_dir)
     named = documents(spark, sf_dir).select(
@@ -320,7 +346,7 @@ def faulty_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = F.col("initial_state")
     odd = positive & (d % 29 == 1) & F.col("family").isin(5, 6)
     listed = state.withField("selected", state.selected.withField("object", two))
-    return materialize(
+    return (
         joined.withColumn("gold_trace", F.concat("gold_trace", *parts))
         .withColumn("initial_state", F.when(odd, listed).otherwise(state))
         .select(*base.columns)

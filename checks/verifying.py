@@ -137,13 +137,13 @@ def _errors(gated, column, *fields):
 
 @query("static_check", and_views(_VIEWS, FAULTY, "SELECT id, doc_id, pos, error FROM static_errs"))
 def static_check(spark, sf_dir):
-    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), fx.objects(spark, sf_dir))
+    prepared = audit.prepare(_traces(spark, sf_dir), fx.objects(spark, sf_dir))
     return _errors(prepared.withColumn("errors", gates.static_errors()), "errors", "pos", "error")
 
 
 @query("execution_check", and_views(_VIEWS, FAULTY, "SELECT id, doc_id, pos, tool, error FROM exec_errs"))
 def execution_check(spark, sf_dir):
-    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), fx.objects(spark, sf_dir))
+    prepared = audit.prepare(_traces(spark, sf_dir), fx.objects(spark, sf_dir))
     return _errors(prepared.withColumn("errors", audit.step_errors()), "errors", "pos", "tool", "error")
 
 
@@ -168,7 +168,7 @@ SELECT id, doc_id, {_P[67]} + 4, 'show_popup', 'object_not_found' FROM faulty WH
 )
 def execution_check_strict(spark, sf_dir):
     objects = fx.objects(spark, sf_dir)
-    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), objects, strict_refs=True)
+    prepared = fx.materialize(audit.prepare(_traces(spark, sf_dir), objects, strict_refs=True))
     queries = fx.materialize(audit.searches(prepared))
     results = audit.keyed_results(queries, fx.scenarios(spark, sf_dir), objects, fx.traj(spark, sf_dir))
     sized = audit.with_search_sizes(prepared, queries, results)
@@ -191,8 +191,13 @@ def final_artifacts(spark, sf_dir):
     return _final(spark, sf_dir).select("id", F.inline("artifacts"))
 
 
+def _traces(spark, sf_dir):
+    """What the audit looks at: samples without their texts and metadata."""
+    return fx.faulty_samples(spark, sf_dir).select("id", "scenario_id", "sample_ord", "initial_state", "gold_trace", "expected")
+
+
 def _final(spark, sf_dir):
-    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), fx.objects(spark, sf_dir))
+    prepared = audit.prepare(_traces(spark, sf_dir), fx.objects(spark, sf_dir)).drop("gold_trace")
     return audit.with_final_state(prepared.filter(F.size(audit.step_errors()) == 0))
 
 
@@ -222,7 +227,7 @@ WHERE id NOT IN (SELECT id FROM exec_errs)""",
     ),
 )
 def final_highlights(spark, sf_dir):
-    stated = _final(spark, sf_dir)
+    stated = fx.materialize(_final(spark, sf_dir))
     queries = fx.materialize(audit.searches(stated))
     return audit.highlighted_objects(stated, queries, _results(spark, sf_dir, queries))
 
@@ -295,7 +300,7 @@ SELECT {SAMPLE_ID}, {_TIME}, {_NEG_SELECTED}, '', '', '' FROM negs""",
 )
 def final_state(spark, sf_dir):
     """The whole state that every sample without errors ends in, in one row."""
-    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), fx.objects(spark, sf_dir))
+    prepared = audit.prepare(_traces(spark, sf_dir), fx.objects(spark, sf_dir)).drop("gold_trace")
     timed = fx.materialize(audit.with_timeline(prepared.filter(F.size(audit.step_errors()) == 0)))
     queries = fx.materialize(audit.searches(timed))
     states = audit.states(timed, F.array(F.size("steps")), queries, _results(spark, sf_dir, queries))
@@ -315,7 +320,7 @@ SELECT id, pos71, {_TIME}, selected, drawn, lit, popped FROM ends WHERE doc_id %
 )
 def map_states(spark, sf_dir):
     """The whole state at every get_current_map_state step, those in mid-trace for samples without errors."""
-    prepared = audit.prepare(fx.faulty_samples(spark, sf_dir), fx.objects(spark, sf_dir))
+    prepared = audit.prepare(_traces(spark, sf_dir), fx.objects(spark, sf_dir)).drop("gold_trace")
     fine = F.size(audit.step_errors()) == 0
     timed = fx.materialize(audit.with_timeline(prepared.withColumn("fine", fine)))
     queries = fx.materialize(audit.searches(timed))
@@ -504,7 +509,7 @@ UNION ALL SELECT id, {_P[71]}, 'get_current_map_state', CASE WHEN sel THEN targe
 )
 def read_tool_results(spark, sf_dir):
     objects = fx.objects(spark, sf_dir)
-    prepared = fx.materialize(audit.prepare(fx.faulty_samples(spark, sf_dir), objects))
+    prepared = fx.materialize(audit.prepare(_traces(spark, sf_dir), objects).drop("gold_trace"))
     queries = fx.materialize(audit.searches(prepared))
     found = tool_results.read_results(prepared, objects, queries, _results(spark, sf_dir, queries))
     get = lambda path, kind: F.try_variant_get("result", path, kind)

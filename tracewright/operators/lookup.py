@@ -53,12 +53,8 @@ def objects_of_type(objects: DataFrame, object_type: str) -> DataFrame:
     return objects.filter(F.col("type") == object_type)
 
 
-def resolve_reference(references: DataFrame, objects: DataFrame) -> DataFrame:
-    """references(query_id, scenario_id, reference, expected_type) -> entity and confidence.
-
-    A reference matches an object's id, name or alias, whatever the case; the first object in
-    order wins. Candidates are reduced to one per (scenario, text, type) before the join.
-    """
+def reference_index(objects: DataFrame) -> DataFrame:
+    """(scenario_id, _key, _wanted, _hit): the first object in order per text it goes by and type asked for."""
     words = F.array_distinct(
         F.transform(
             F.concat(F.array("id", "name"), F.coalesce("aliases", F.array().cast("array<string>"))),
@@ -66,7 +62,7 @@ def resolve_reference(references: DataFrame, objects: DataFrame) -> DataFrame:
         )
     )
     first = F.min(F.struct("ord", "id", "type", "name"))
-    typed = (
+    return (
         objects.select(
             "scenario_id",
             "ord",
@@ -79,6 +75,16 @@ def resolve_reference(references: DataFrame, objects: DataFrame) -> DataFrame:
         .groupBy("scenario_id", "_key", "_wanted")
         .agg(first.alias("_hit"))
     )
+
+
+def resolve_reference(references: DataFrame, objects: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """references(query_id, scenario_id, reference, expected_type) -> entity and confidence.
+
+    A reference matches an object's id, name or alias, whatever the case; the first object in
+    order wins. Candidates are reduced to one per (scenario, text, type) before the join; hand in
+    a written `reference_index` where the same objects are looked up more than once.
+    """
+    typed = reference_index(objects) if index is None else index
     asked = references.withColumn("_key", F.trim(F.lower("reference"))).withColumn(
         "_wanted", F.coalesce("expected_type", F.lit(""))
     )

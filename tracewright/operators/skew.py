@@ -41,20 +41,19 @@ def block_join(
     within a key, where few bytes can mean much work and the adaptive skew join, which goes by
     bytes, does not step in. `left_id` / `right_id` name the columns a row's block is drawn from.
 
-    The hot keys are looked up first, by one job over the key columns of both sides that writes them as a
-    table; without any, this is the plain join. Every hot key is cut, however many there are.
+    The hot keys are looked up first by one job over the key columns of both sides; without any, this
+    is the plain join. Every hot key is cut: up to BROADCAST_KEYS of them are broadcast, more are a table.
     """
     a, b = "_left_blocks", "_right_blocks"
     sides = _heavy(left, keys, a, block_rows).withColumn(b, F.lit(1)).unionByName(
         _heavy(right, keys, b, block_rows).withColumn(a, F.lit(1))
     )
     cuts = sides.groupBy(*keys).agg(F.max(a).alias(a), F.max(b).alias(b))
-    hot = materialize(cuts)
-    n_hot = hot.count()
-    if not n_hot:
+    found = cuts.limit(BROADCAST_KEYS + 1).collect()
+    if not found:
         return left.join(right, keys)
-    if n_hot <= BROADCAST_KEYS:
-        hot = F.broadcast(hot)
+    few = len(found) <= BROADCAST_KEYS
+    hot = F.broadcast(left.sparkSession.createDataFrame(found, cuts.schema)) if few else materialize(cuts)
 
     def in_blocks(df: DataFrame, own: str, other: str, ids: list[str], own_tag: str, other_tag: str):
         return (

@@ -20,7 +20,7 @@ from ..plans.catalog import ID_ARGUMENTS, RULES, SEARCH_TOOLS, Rules
 from ..plans.vocabulary import CLEAR_SCOPES, SLOTS
 from ..session import materialize
 from . import spatial
-from .lookup import by_id, resolve_reference, types_by_id
+from .lookup import by_id, reference_index, resolve_reference, types_by_id
 
 # Fixed value: the form of a reference to an earlier result, as a whole string argument.
 REFERENCE = r"(?U)^\$(\w+)\.(\w+)$"
@@ -207,19 +207,20 @@ def known_entities(stepped: DataFrame, objects: DataFrame, strict_refs: bool = F
     resolve something take part, with their steps and state alone.
     """
     resolves = lambda s: s.tool == "resolve_entity"
+    asks_name = lambda s: F.exists(
+        "steps", lambda r: resolves(r) & (r.own_at == s.pos) & _asks_fields(_reference(r.own, 1), _reference(r.own, 2))
+    )
     chains = materialize(
         stepped.filter(F.exists("steps", resolves))
         .select("id", "scenario_id", "steps", "initial_state", _levels().alias("levels"))
         .withColumn("known", F.create_map().cast(KNOWN))
     )
     level_of = lambda s: F.get("levels", s.pos)
-    deepest = chains.agg(F.max(F.array_max(F.transform(F.filter("steps", resolves), level_of)))).first()[0]
-    table = by_id(objects)
+    deepest, named_at = chains.agg(
+        *[F.max(F.array_max(F.transform(F.filter("steps", f), level_of))) for f in (resolves, asks_name)]
+    ).first()
+    index = materialize(reference_index(objects)) if deepest else None  # looked up once per level
     for level in range(-1 if deepest is None else deepest + 1):
-        asks_name = lambda s: F.exists(
-            "steps",
-            lambda r: resolves(r) & (r.own_at == s.pos) & _asks_fields(_reference(r.own, 1), _reference(r.own, 2)),
-        )
         due = F.filter("steps", lambda s: (level_of(s) == level) & (resolves(s) | asks_name(s)))
         asked = chains.withColumn("step_ids", _ids_of_steps(strict_refs, rules)).select(
             "id",
@@ -240,13 +241,17 @@ def known_entities(stepped: DataFrame, objects: DataFrame, strict_refs: bool = F
             F.struct("id", "s.pos").alias("query_id"), "scenario_id", F.col("s.ask").alias("reference"), "s.expected_type"
         )
         entity = F.struct(F.col("entity_id").alias("id"), F.col("entity_name").alias("name"), F.col("entity_type").alias("type"))
-        by_text = resolve_reference(texts, objects).filter(F.col("entity_id").isNotNull()).select("query_id.*", entity.alias("found"))
-        ids = asked.filter("not s.by_text").select("id", "s.pos", "scenario_id", F.col("s.ask").alias("object_id"))
-        named = table.select("scenario_id", F.col("id").alias("object_id"), F.struct("id", "name", "type").alias("found"))
-        by_own = ids.join(named, ["scenario_id", "object_id"]).select("id", "pos", "found")
-        found = by_text.unionByName(by_own).groupBy("id").agg(
-            F.map_from_entries(F.collect_list(F.struct("pos", "found"))).cast(KNOWN).alias("_new")
-        )
+        by_text = resolve_reference(texts, objects, index).filter(F.col("entity_id").isNotNull()).select("query_id.*", entity.alias("found"))
+        found = by_text
+        if named_at is not None and level <= named_at:
+            ids = asked.filter("not s.by_text").select("id", "s.pos", "scenario_id", F.col("s.ask").alias("object_id"))
+            wanted = objects.withColumnRenamed("id", "object_id").join(
+                ids.select("scenario_id", "object_id").distinct(), ["scenario_id", "object_id"], "left_semi"
+            )
+            named = by_id(wanted.withColumnRenamed("object_id", "id").select(*objects.columns))
+            named = named.select("scenario_id", F.col("id").alias("object_id"), F.struct("id", "name", "type").alias("found"))
+            found = found.unionByName(ids.join(named, ["scenario_id", "object_id"]).select("id", "pos", "found"))
+        found = found.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("pos", "found"))).cast(KNOWN).alias("_new"))
         more = F.coalesce("_new", F.create_map().cast(KNOWN))
         chains = chains.join(found, "id", "left").withColumn("known", F.map_concat("known", more)).drop("_new")
         if level < deepest:
