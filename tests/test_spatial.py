@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewright.functions import geo
-from tracewright.operators import spatial
+from tracewright.operators import grid, spatial
 from tracewright.sources import schema
 
 SQUARE = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]
@@ -124,6 +124,16 @@ def test_nearby_anywhere_on_the_globe(spark, centre, radius):
     assert "twin" in got
 
 
+@pytest.mark.parametrize("radius", [0.0, 1.0, 40.0, 900.0, 60_000.0, 5_000_000.0])
+def test_circles_cover_few_cells_everywhere(spark, radius):
+    lats = [0.0, 10.8, 60.0, 89.0, 89.9, 89.9995, 90.0, -89.9995]
+    rows = [(lat, lon, radius) for lat in lats for lon in (0.0, 179.9999, -180.0)]
+    circles = spark.createDataFrame(rows, "lat double, lon double, r double")
+    boxed = circles.select("*", F.explode(spatial._circle_boxes(F.col("lon"), F.col("lat"), F.col("r"))).alias("_box"))
+    cells = grid.with_box_cells(boxed, grid.box_level(F.col("_box"))).groupBy("lat", "lon").count()
+    assert cells.select(F.max("count")).first()[0] <= 50
+
+
 def test_crossing_uses_the_points_left_after_the_filter(spark):
     random.seed(5)
     minutes = {"last_10_minutes": 10, "last_1_hour": 60, "whatever": 10}

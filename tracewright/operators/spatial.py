@@ -94,11 +94,6 @@ def _circle_boxes(lon: Column, lat: Column, radius: Column) -> Column:
     )
 
 
-def _circle_level(radius: Column) -> Column:
-    """Resolution for a circle, from its height alone."""
-    return grid.level_of(F.degrees(radius / geo.EARTH_RADIUS_M) * 2)
-
-
 def nearby_objects(queries: DataFrame, objects: DataFrame) -> DataFrame:
     """queries(scenario_id, object_id, object_type, radius_meters) -> objects within the radius.
 
@@ -112,9 +107,10 @@ def nearby_objects(queries: DataFrame, objects: DataFrame) -> DataFrame:
         F.col("lat").alias("_lat"),
     )
     asked = ask.join(centres, ["scenario_id", "object_id"])
-    radius, level = F.col("radius_meters"), _circle_level(F.col("radius_meters"))
-    levels = grid.levels_in_use(ask, level)
-    boxed = asked.select("*", F.explode(_circle_boxes(F.col("_lon"), F.col("_lat"), radius)).alias("_box"))
+    radius, level = F.col("radius_meters"), grid.box_level(F.col("_box"))
+    # A box near a pole is wider than high: its own extent gives the resolution, so it never covers many cells.
+    boxed = materialize(asked.select("*", F.explode(_circle_boxes(F.col("_lon"), F.col("_lat"), radius)).alias("_box")))
+    levels = grid.levels_in_use(boxed, level)
     left = grid.with_box_cells(_spread(boxed), level).drop("_box")
     right = grid.with_point_cells(_points(objects), "lon", "lat", levels)
     pairs = block_join(
