@@ -116,6 +116,20 @@ def test_values_before_capital_words_and_cards_in_three_groups():
     assert got == [*want, ("iban", "GB82 WEST 1234 5698 7654 32")]
 
 
+@pytest.mark.parametrize("tail", [" 123", " 12/27", " 2027", "-123", " 12-27", ""])
+@pytest.mark.parametrize("card", ["4111 1111 1111 1111", "4111-1111-1111-1111", "3782 822463 10005"])
+def test_cards_before_codes_and_expiries(card, tail):
+    text = f"pay {card}{tail} now, or call 212-555-0188"
+    got = [(kind, text[a:b]) for a, b, kind, _ in pii.find(text, pii.Pseudonyms(b"k"))]
+    assert got == [("card", card), ("phone", "212-555-0188")]
+
+
+def test_value_inside_of_one_that_fails():
+    text = "999.999.999.999 and 2024-13-45 10.20.30.40, 4111 1111 1111 1112 123 2024-02-29"
+    got = [text[a:b] for a, b, _, _ in pii.find(text, pii.Pseudonyms(b"k"))]
+    assert got == ["10.20.30.40", "2024-02-29"]
+
+
 def test_permutation_is_a_bijection():
     p = pii.Permutation(b"k", "x", 777)
     assert sorted(map(p.apply, range(777))) == list(range(777))

@@ -193,7 +193,7 @@ PATTERNS = {
 }
 # Every kind but e-mail starts with a digit, `+`, `(` or two capitals before digits; most texts hold none of it.
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items() if k not in ("email", "iban")))
-_EMAIL, _IBAN = re.compile(PATTERNS["email"]), re.compile(PATTERNS["iban"])
+_EMAIL, _IBAN, _CARD = (re.compile(PATTERNS[k]) for k in ("email", "iban", "card"))
 _DIGIT = re.compile("[0-9]")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 
@@ -224,13 +224,27 @@ def _ibans(text: str, pseudonyms: Pseudonyms) -> Iterator[re.Match]:
             at = m.end()
 
 
+def _others(text: str, pseudonyms: Pseudonyms) -> Iterator[tuple[str, re.Match]]:
+    """Valid values of the other kinds. A card may have taken a code or a date behind it: groups are left off one by one."""
+    at = 0
+    while m := _ANY.search(text, at):
+        kind, found = m.lastgroup, m
+        while found and getattr(pseudonyms, kind)(found.group()) is None:
+            end = max(text.rfind(c, found.start(), found.end()) for c in " -") if kind == "card" else -1
+            found = _CARD.match(text, m.start(), end) if end > 0 else None
+        if found:
+            yield kind, found
+        # A value can begin inside of what was none; digits of one long number are not tried again.
+        at = found.end() if found else m.end() if kind == "card" else m.start() + 1
+
+
 def find(text: str, pseudonyms: Pseudonyms) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of the valid values, in order and without overlap."""
     order = list(PATTERNS)
     found = [("email", m) for m in _emails(text)]
     if _DIGIT.search(text):
         found += [("iban", m) for m in _ibans(text, pseudonyms)]
-        found += [(m.lastgroup, m) for m in _ANY.finditer(text)]
+        found += _others(text, pseudonyms)
     out: list[tuple[int, int, str, str]] = []
     for kind, m in sorted(found, key=lambda x: (x[1].start(), order.index(x[0]))):
         if out and m.start() < out[-1][1]:
