@@ -136,6 +136,13 @@ def test_permutation_is_a_bijection():
     assert all(p.apply(p.apply(i), back=True) == i for i in range(777))
 
 
+@pytest.mark.parametrize("scale", [1.0, 2.0**600, 2.0**-600, 1e200, 1e-200, 1e-300])
+def test_links_at_the_threshold_whatever_the_scale(scale):
+    a, b = np.array([[1.0, 0.0]]) * scale, np.array([[0.93, np.sqrt(1 - 0.93**2)], [0.9299, np.sqrt(1 - 0.9299**2)]]) * scale
+    i, j = vector_dedup.linked(a, b, np.eye(2), 0.93 - 1e-15)
+    assert list(zip(i.tolist(), j.tolist(), strict=True)) == [(0, 0)]
+
+
 def vectors():
     rng = np.random.default_rng(3)
     out = [(i, rng.normal(size=8).tolist(), i % 3) for i in range(120)]

@@ -60,6 +60,11 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """The vector times a power of two, exactly, so that no product over- or underflows."""
+    return np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
+
+
 def principal_axes(rows: DataFrame) -> dict[int, np.ndarray]:
     """Per vector length the principal axes as columns, from the second moments of all vectors.
 
@@ -110,7 +115,7 @@ def linked(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float) ->
         close = np.abs(sums - threshold) <= NEAR
         sure = sums >= threshold
         for c in np.flatnonzero(close):
-            x, y = a[i[c]], b[j[c]]
+            x, y = _scaled(a[i[c]]), _scaled(b[j[c]])
             sure[c] = math.sumprod(x, y) / math.sqrt(math.sumprod(x, x) * math.sumprod(y, y)) >= threshold
         rows.append(i[sure])
         columns.append(j[sure])
