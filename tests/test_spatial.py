@@ -173,3 +173,17 @@ def test_crossing_uses_the_points_left_after_the_filter(spark):
             left = [(x, y) for t, x, y in p if t <= m]
             want |= {(line, r, n) for line, path in lines.items() if len(left) >= 2 and meets(path, left)}
     assert got == want and want
+
+
+def test_targets_are_the_last_objects_of_their_ids(spark):
+    ring = lambda x: [[[x, 0.0], [x + 1.0, 0.0], [x + 1.0, 1.0], [x, 1.0], [x, 0.0]]]
+    rows = [
+        obj("s", "z", "polygon", rings=ring(50.0)), obj("s", "z", "polygon", rings=ring(0.0)),
+        obj("s", "was", "polygon", rings=ring(0.0)), obj("s", "was", "camera", pt=[80.0, 0.0]),
+        obj("s", "c", "camera", pt=[0.5, 0.5]), obj("s", "c", "camera", pt=[50.5, 0.5]), obj("s", "d", "camera", pt=[50.5, 0.5]),
+    ]
+    objects = table(spark, [(r[0], i, *r[2:]) for i, r in enumerate(rows)])
+    ask = spark.createDataFrame([("s", i, "camera") for i in ("z", "was")], "scenario_id string, polygon_id string, object_type string")
+    assert [(r.polygon_id, r.id) for r in spatial.objects_inside_polygon(ask, objects).collect()] == [("z", "c")]
+    near = spark.createDataFrame([("s", "c", "camera", 10.0)], "scenario_id string, object_id string, object_type string, radius_meters double")
+    assert [r.id for r in spatial.nearby_objects(near, objects).collect()] == ["d"]

@@ -35,6 +35,13 @@ def by_id(objects: DataFrame) -> DataFrame:
     )
 
 
+def found_by_id(objects: DataFrame, object_type: str | None = None) -> DataFrame:
+    """The objects that a lookup by id finds, of one type if given: the last one listed under each id."""
+    last = objects.groupBy("scenario_id", "id").agg(F.max("ord").alias("ord"))
+    wanted = objects if object_type is None else objects_of_type(objects, object_type)
+    return wanted.join(last, ["scenario_id", "id", "ord"], "left_semi")
+
+
 def object_info(queries: DataFrame, objects: DataFrame) -> DataFrame:
     """queries(query_id, scenario_id, object_id) -> id, type, name, geometry, properties.
 

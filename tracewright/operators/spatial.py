@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..session import materialize
 from . import grid
-from .lookup import time_range_minutes
+from .lookup import found_by_id, time_range_minutes
 from .skew import block_join, with_next
 
 SEGMENT = ["ax", "ay", "bx", "by"]
@@ -47,7 +47,7 @@ def _spread(queries: DataFrame) -> DataFrame:
 def objects_inside_polygon(queries: DataFrame, objects: DataFrame) -> DataFrame:
     """queries(scenario_id, polygon_id, object_type) -> the objects strictly inside each polygon."""
     ask = queries.select("scenario_id", "polygon_id", "object_type").distinct()
-    zones = objects.filter(F.col("type") == "polygon").select(
+    zones = found_by_id(objects, "polygon").select(
         "scenario_id",
         F.col("id").alias("polygon_id"),
         geo.edges(geo.closed(F.col("geom.rings")[0])).alias("_edges"),
@@ -100,7 +100,7 @@ def nearby_objects(queries: DataFrame, objects: DataFrame) -> DataFrame:
     The centre itself is left out; the distance is compared unrounded and shown to 0.1 m.
     """
     ask = queries.select("scenario_id", "object_id", "object_type", "radius_meters").distinct()
-    centres = _points(objects).select(
+    centres = _points(found_by_id(objects)).select(
         "scenario_id",
         F.col("id").alias("object_id"),
         F.col("lon").alias("_lon"),
@@ -144,9 +144,7 @@ def vehicle_trajectory(
         queries.select("scenario_id", "vehicle_id", "time_range")
         .distinct()
         .join(
-            objects.filter(F.col("type") == "vehicle").select(
-                "scenario_id", F.col("id").alias("vehicle_id")
-            ),
+            found_by_id(objects, "vehicle").select("scenario_id", F.col("id").alias("vehicle_id")),
             ["scenario_id", "vehicle_id"],
         )
     )
@@ -179,7 +177,7 @@ def objects_crossing_line(
     minutes = time_range_minutes(F.col("time_range"))
     ask = queries.select("scenario_id", "line_id", "object_type", "time_range").distinct()
     asked = ask.withColumn("_minutes", minutes).join(
-        objects.filter(F.col("type") == "line").select(
+        found_by_id(objects, "line").select(
             "scenario_id",
             F.col("id").alias("line_id"),
             F.explode(geo.edges(F.col("geom.path"))).alias("_line"),
