@@ -187,3 +187,43 @@ def test_targets_are_the_last_objects_of_their_ids(spark):
     assert [(r.polygon_id, r.id) for r in spatial.objects_inside_polygon(ask, objects).collect()] == [("z", "c")]
     near = spark.createDataFrame([("s", "c", "camera", 10.0)], "scenario_id string, object_id string, object_type string, radius_meters double")
     assert [r.id for r in spatial.nearby_objects(near, objects).collect()] == ["d"]
+
+
+def test_rectangles_take_no_edges(spark):
+    """A box is recognised closed or open; there-and-back rings and slanted ones are none."""
+    there_and_back = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [1.0, 0.0], [0.0, 0.0]]
+    rings = [SQUARE, SQUARE[:4], NOTCHED, there_and_back, [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]], None, []]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rings)], "i int, ring array<array<double>>")
+    got = [r[0] for r in df.orderBy("i").select(geo.is_box(F.col("ring"))).collect()]
+    assert got == [True, True, False, False, False, False, False]
+    objects = table(spark, [obj("s", "v", "vehicle", pt=[0.5, 0.5]), obj("s", "w", "vehicle", pt=[1.0, 0.5])]
+                    + [obj("s", f"z{i}", "polygon", rings=[r]) for i, r in enumerate(rings[:4])])
+    ask = spark.createDataFrame([("s", f"z{i}", "vehicle") for i in range(4)], "scenario_id string, polygon_id string, object_type string")
+    got = {(r.polygon_id, r.id) for r in spatial.objects_inside_polygon(ask, objects).collect()}
+    assert got == {("z0", "v"), ("z1", "v"), ("z2", "v"), ("z2", "w")}
+
+
+def test_meeting_paths_of_all_sizes(spark):
+    random.seed(5)
+    paths = []
+    for i in range(60):
+        x, y, r = random.uniform(0, 1), random.uniform(0, 1), 10 ** random.uniform(-2.5, -0.3)
+        paths.append((f"p{i:02}", [[x + r * random.uniform(-1, 1), y + r * random.uniform(-1, 1)] for _ in range(4)]))
+    df = spark.createDataFrame([("k", n, p) for n, p in paths], "k string, id string, path array<array<double>>")
+    other = df.select(F.col("id").alias("other"), F.col("path").alias("b"))
+    want = df.join(other, F.col("id") < F.col("other")).filter(geo.paths_meet(F.col("path"), F.col("b")))
+    got = sorted((r.one, r.other) for r in spatial.meeting_paths(df, ["k"]).collect())
+    assert got == sorted((r.id, r.other) for r in want.collect()) and len(got) > 50
+
+
+def test_cells_of_a_small_table_are_not_broadcast(spark):
+    """One step as long as a map becomes many cells; to the planner its table stays small."""
+    import contextlib
+    import io
+
+    ones = spark.range(10).select(F.col("id").alias("n"), F.lit("k").alias("k"), F.struct(*[F.lit(0.5).alias(c) for c in ("ax", "ay", "bx", "by")]).alias("_one"))
+    pairs = spatial.meeting_segments(ones, ones.withColumnsRenamed({"n": "m", "_one": "_other"}), ["k"], ["n"], ["m"])
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        pairs.explain()
+    assert "SortMergeJoin" in plan.getvalue() and "BroadcastHashJoin" not in plan.getvalue()
+    assert pairs.count() == 100
