@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracewright.operators import assemble, gates, ingest, multiturn, requests, split
 from tracewright.plans import traces
-from tracewright.session import scratch_dir
+from tracewright.session import materialize, scratch_dir
 from tracewright.sources import scenarios as docs
 from tracewright.sources import sinks, tables, worlds
 
@@ -420,18 +420,20 @@ WHERE family >= 8""",
     ),
 )
 def plan_requests(spark, sf_dir):
-    """Requests with all ids of their scenarios, 50 a part, put together again."""
+    """Requests with all ids of their scenarios, 50 a page, the pages of each scenario put together again."""
     bps = fx.blueprints(spark, sf_dir).filter(~F.col("task_type").isin(list(traces.TEMPLATES)))
-    asked = requests.plan_requests(bps, fx.objects(spark, sf_dir), page_size=50)
+    asked = requests.plan_requests(bps).select(
+        "request_id", "scenario_id", F.try_variant_get(_after("Blueprint"), "$.task_type", "string").alias("task_type")
+    )
+    pages = requests.plan_pages(bps, fx.objects(spark, sf_dir), page_size=50)
     ids = F.from_json(F.regexp_extract("text", "Ids, page [0-9]+: (.*)", 1), "array<string>")
-    task = F.when(F.col("part") == 0, F.try_variant_get(_after("Blueprint"), "$.task_type", "string"))
-    whole = asked.select("request_id", "part", ids.alias("ids"), task.alias("task_type")).groupBy("request_id").agg(
-        F.max("task_type").alias("task_type"),
+    whole = pages.select("scenario_id", "page", ids.alias("ids")).groupBy("scenario_id").agg(
         F.count(F.lit(1)).alias("parts"),
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", "ids"))), lambda x: x.ids)).alias("ids"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("page", "ids"))), lambda x: x.ids)).alias("ids"),
     )
     listed, digest = F.size("ids").cast("bigint").alias("listed_ids"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256")
-    return whole.select("request_id", "task_type", "parts", listed, digest)
+    listing = materialize(whole.select("scenario_id", "parts", listed, digest))
+    return asked.join(listing, "scenario_id").select("request_id", "task_type", "parts", "listed_ids", "ids_sha256")
 
 
 @query(

@@ -184,3 +184,19 @@ def test_worlds(spark):
         assert max(steps) - min(steps) < 0.002
     normal = spark.range(20000).select(worlds.Draw(F.col("id")).normal("z").alias("z")).agg(F.avg("z"), F.stddev("z")).first()
     assert abs(normal[0]) < 0.05 and abs(normal[1] - 1) < 0.05
+
+
+def test_plan_pages_are_kept_once_per_scenario(spark):
+    """Many requests of one scenario: the ids are not repeated for each of them."""
+    things = spark.createDataFrame([("s", i, f"v{i}") for i in range(7)], "scenario_id string, ord bigint, id string")
+    asked = spark.createDataFrame([(w, i, "t") for w in ("s", "empty") for i in range(20)], "scenario_id string, bp_ord int, task_type string")
+    heads = requests.plan_requests(asked).collect()
+    pages = sorted((r.scenario_id, r.page, r.text) for r in requests.plan_pages(asked, things, page_size=3).collect())
+    assert len(heads) == 40 and {r.request_id for r in heads} == {f"plan|{w}|{i}" for w in ("s", "empty") for i in range(20)}
+    assert not any('"v1"' in r.text for r in heads)
+    assert pages == [
+        ("empty", 0, "\nIds, page 1: []"),
+        ("s", 0, '\nIds, page 1: ["v0","v1","v2"]'),
+        ("s", 1, '\nIds, page 2: ["v3","v4","v5"]'),
+        ("s", 2, '\nIds, page 3: ["v6"]'),
+    ]

@@ -115,26 +115,35 @@ def adversarial_requests(items: DataFrame, objects: DataFrame, template: str = p
     return items.join(ids, "scenario_id", "left").select(*items.columns, text.alias("text"))
 
 
-def plan_requests(blueprints: DataFrame, objects: DataFrame, template: str = prompts.PLAN, page_size: int = 1000) -> DataFrame:
-    """Requests for traces of blueprints without a template, (request_id, scenario_id, bp_ord, part, text).
+def plan_requests(blueprints: DataFrame, template: str = prompts.PLAN) -> DataFrame:
+    """Requests for traces of blueprints without a template, (request_id, scenario_id, bp_ord, text).
 
-    A plan request lists every id of its scenario, in order. Its text is that of all its parts one after
-    another: part 0 begins with the template, and each part ends with a line of at most `page_size` ids.
+    A plan request lists every id of its scenario, in order: its whole text is `text` and then the text of every
+    row of `plan_pages` with its scenario_id, by page. Requests of a scenario share these pages, so they
+    are kept once and not once per request: all texts spelled out would grow with requests times objects.
     """
     shown = F.to_json(F.struct(*[c for c in blueprints.columns if c not in ("scenario_id", "bp_ord")]))
-    pages = object_id_pages(objects, page_size)
-    part, ids = F.coalesce("page", F.lit(0)), F.to_json(F.coalesce("ids", F.array().cast("array<string>")))
     head = render(template, scenario_id=F.col("scenario_id"), blueprint=F.col("_shown"))
-    line = F.concat(F.lit("\nIds, page "), (part + 1).cast("string"), F.lit(": "), ids)
-    return blueprints.withColumn("_shown", shown).join(pages, "scenario_id", "left").select(
+    return blueprints.withColumn("_shown", shown).select(
         F.concat_ws("|", F.lit("plan"), "scenario_id", F.col("bp_ord").cast("string")).alias("request_id"),
         "scenario_id",
         "bp_ord",
-        part.alias("part"),
-        F.concat(F.when(part == 0, head).otherwise(""), line).alias("text"),
+        head.alias("text"),
     )
 
 
+def plan_pages(scenarios: DataFrame, objects: DataFrame, page_size: int = 1000) -> DataFrame:
+    """(scenario_id, page, text): lines of at most `page_size` ids that all plan requests of a scenario end with.
+
+    A scenario without objects has one line without ids.
+    """
+    pages = object_id_pages(objects, page_size)
+    page, ids = F.coalesce("page", F.lit(0)), F.to_json(F.coalesce("ids", F.array().cast("array<string>")))
+    line = F.concat(F.lit("\nIds, page "), (page + 1).cast("string"), F.lit(": "), ids)
+    asked = scenarios.select("scenario_id").distinct()
+    return asked.join(pages, "scenario_id", "left").select("scenario_id", page.alias("page"), line.alias("text"))
+
+
 def object_id_pages(objects: DataFrame, page_size: int = 1000) -> DataFrame:
     """(scenario_id, page, ids): all ids of each scenario in order, `page_size` a page but for the last."""
     numbered = with_index(objects.select("scenario_id", "ord", "id"), ["scenario_id"], ["ord"], "_at")
