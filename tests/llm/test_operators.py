@@ -257,6 +257,19 @@ def test_wrapper_has_groups_and_slots():
     assert html_text.template_texts(html_text.infer(frames[:2])) == ["a"]
 
 
+def test_template_texts_stand_on_every_page_of_the_host(spark):
+    """More pages than a wrapper starts from: a text that one page outside of these lacks is content on all others."""
+    n = 4 * html_text.PAGES_PER_WRAPPER
+    pages = [(i, f"http://big.com/{i}", f"<div>Shop</div><div>Sale</div><p>text {i}</p>") for i in range(n)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(4)
+    assert {r.text for r in html_text.main_text(df).collect()} == {f"text {i}" for i in range(n)}
+    last = df.orderBy(F.xxhash64("url").desc()).first().page_id
+    pages[last] = (last, f"http://big.com/{last}", f"<div>Shop</div><p>text {last}</p>")
+    df = spark.createDataFrame(pages, df.schema).repartition(4)
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    assert got == {i: f"text {i}" if i == last else f"Sale\ntext {i}" for i in range(n)}
+
+
 def targets(sizes):
     names = sorted({s for s in sizes if s is not None}, key=lambda s: s.encode()) + ([None] if None in sizes else [])
     weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
