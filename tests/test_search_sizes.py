@@ -30,3 +30,16 @@ def test_sizes_and_hits_without_lists(spark):
         assert sorted(r.result_id for r in hits.collect()) == ["v1", "v4"]
         nothing = audit.keyed_hits(probes.filter("false"), scenarios, objects, traj)
         assert nothing.count() == 0
+
+
+def test_results_come_with_who_asks(spark):
+    """One search of two traces: both get what it finds, without a join of results with those who ask."""
+    zone = ("s", 9, "z", "polygon", "z", [], ("Polygon", None, None, [RING]), None)
+    objects = spark.createDataFrame([*[_point(i, f"v{i}", 0.1 + 0.1 * i) for i in range(3)], _point(7, "out", 2.0), zone], schema.OBJECTS)
+    scenarios = spark.createDataFrame([("s",)], "scenario_id string").withColumn("time", F.lit("2024-01-01").cast("timestamp"))
+    columns = "id string, pos int, scenario_id string, tool string, object_id string, object_type string, radius_meters double, time_range string"
+    asked = [("a", 1, "s", "get_objects_inside_polygon", "z", "vehicle", None, None), ("b", 4, "s", "get_objects_inside_polygon", "z", "vehicle", None, None)]
+    asked.append(("b", 2, "s", "get_nearby_objects", "v0", "vehicle", 20_000.0, None))
+    found = audit.shown_results(spark.createDataFrame(asked, columns), scenarios, objects, spark.createDataFrame([], TRAJ))
+    inside = [(i, p, v) for i, p in (("a", 1), ("b", 4)) for v in ("v0", "v1", "v2")]
+    assert sorted(map(tuple, found.collect())) == sorted([*inside, ("b", 2, "v1")])

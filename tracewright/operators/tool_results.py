@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.variants import string_value
 from ..plans.vocabulary import SLOTS
+from ..session import materialize
 from . import spatial
 from .lookup import by_id
 from .requests import geojson
-from .trace_audit import states, with_timeline
+from .trace_audit import searches_on_map, shown_results, states_with, with_timeline
 
 
 def _calls(prepared: DataFrame, *tools: str) -> DataFrame:
@@ -101,23 +102,25 @@ def object_reads(prepared: DataFrame, objects: DataFrame) -> DataFrame:
     return _result(found, value).filter(F.col("result").isNotNull())
 
 
-def map_states(prepared: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
+def map_states(prepared: DataFrame, scenarios: DataFrame, objects: DataFrame, traj: DataFrame) -> DataFrame:
     """get_current_map_state: what is visible at that step, highlights of searches included.
 
-    `queries` and `results` come from trace_audit.searches and keyed_results.
+    Only searches that are highlighted at such a step are run.
     """
     calls = F.filter("steps", lambda s: s.tool == "get_current_map_state")
-    asked = states(with_timeline(prepared), F.transform(calls, lambda s: s.pos), queries, results)
+    timed, at = with_timeline(prepared), F.transform(calls, lambda s: s.pos)
+    queries = materialize(searches_on_map(timed, at))
+    asked = states_with(timed, at, shown_results(queries, scenarios, objects, traj))
     selected = F.struct(*[_slot_value(F.col("selected")[s]).alias(s) for s in SLOTS]).alias("selected")
     parts = ["time", selected, "active_layers", "drawn_artifacts", "highlighted_objects", "popups"]
     value = F.to_variant_object(F.struct(*parts)).alias("result")
     return asked.select("id", F.col("at").alias("pos"), F.lit("get_current_map_state").alias("tool"), value)
 
 
-def read_results(prepared: DataFrame, objects: DataFrame, queries: DataFrame, results: DataFrame) -> DataFrame:
+def read_results(prepared: DataFrame, scenarios: DataFrame, objects: DataFrame, traj: DataFrame) -> DataFrame:
     """(id, pos, tool, result) of every read but searches and trajectories."""
-    parts = [map_states(prepared, queries, results), selected_entities(prepared), resolved(prepared), object_reads(prepared, objects)]
-    return reduce(DataFrame.unionByName, parts)
+    states = map_states(prepared, scenarios, objects, traj)
+    return reduce(DataFrame.unionByName, [states, selected_entities(prepared), resolved(prepared), object_reads(prepared, objects)])
 
 
 def trajectory_points(
