@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tracewright.operators import lookup
 from tracewright.operators import trace_audit as audit
 from tracewright.sources import schema
 
@@ -43,3 +44,10 @@ def test_results_come_with_who_asks(spark):
     found = audit.shown_results(spark.createDataFrame(asked, columns), scenarios, objects, spark.createDataFrame([], TRAJ))
     inside = [(i, p, v) for i, p in (("a", 1), ("b", 4)) for v in ("v0", "v1", "v2")]
     assert sorted(map(tuple, found.collect())) == sorted([*inside, ("b", 2, "v1")])
+
+
+def test_only_texts_asked_for_are_indexed(spark):
+    objects = spark.createDataFrame([_point(i, f"v{i}", 0.1) for i in range(50)], schema.OBJECTS)
+    asked = spark.createDataFrame([("s", "v7", ""), ("s", "nobody", "")], "scenario_id string, _key string, _wanted string")
+    got = lookup.reference_index(objects, asked).collect()
+    assert {r._key for r in got} == {"v7"} and {r._hit.id for r in got} == {"v7"}
