@@ -103,3 +103,17 @@ def test_last_object_of_an_id_counts(spark):
     assert {(r.id, r.type) for r in lookup.types_by_id(objects).collect()} == {("v1", "camera"), ("v2", "vehicle")}
     asked = spark.createDataFrame([(1, "s", "v1", "camera"), (2, "s", "v1", "vehicle")], "query_id long, scenario_id string, object_id string, required_type string")
     assert [(r.query_id, r.error) for r in lookup.reference_errors(asked, objects).collect()] == [(2, "type_mismatch")]
+
+
+def test_pick_by_hash_keeps_rows_where_they_are(spark):
+    df = spark.range(2000).select(F.col("id"), (F.col("id") % 2).alias("g"), F.lit("x").alias("wide"))
+    quotas = spark.createDataFrame([(0, 10), (1, 20)], "g bigint, quota bigint")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        picked = pick_by_hash(df, "g", quotas, F.col("id").cast("string"))
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2  # of the histogram with the quotas, once per part of the union; never of all rows
+        assert picked.count() == 30
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
