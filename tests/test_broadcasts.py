@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tracewright.operators import lookup
+from tracewright.operators import lookup, spatial
 from tracewright.session import materialize
 
 
@@ -31,3 +31,13 @@ def test_what_is_measured_as_small_is_still_broadcast(spark):
     n, plan = _plan(keys.join(few, F.col("id") == F.col("other")))
     assert n == 300
     assert "BroadcastHashJoin" in plan
+
+
+def test_paths_are_compared_by_id_before_their_geometry(spark):
+    """Each pair of paths would be tested twice otherwise."""
+    path = F.array(*[F.array(F.lit(106.62) + F.col("id") * x, F.lit(10.75) + F.col("id") % 3 * x) for x in (0.0001, 0.0002)])
+    paths = spark.range(60).select(F.lit("s").alias("k"), F.format_string("p%02d", "id").alias("id"), path.alias("path"))
+    _, plan = _plan(spatial.meeting_paths(paths, ["k"]))
+    joined = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
+    condition = joined[joined.index("Inner") :]
+    assert 0 < condition.index("one#") < condition.index("_one#")
